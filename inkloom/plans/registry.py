@@ -1,9 +1,472 @@
-"""The registered queries of the core and their SQL."""
+"""The registered queries of the core: operators over the whole test tables."""
 
+from __future__ import annotations
 
-def queries() -> dict:
-    return {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkloom.functions import ids
+from inkloom.functions import text as T
+from inkloom.operators import buckets, classify, filters, html, incremental, pack, quality, reconcile, reshape, sections, transform
+from inkloom.plans.oracles import SQL
+from inkloom.runtime import table
+from inkloom.sources import readers
+
+Query = Callable[[SparkSession, str], DataFrame]
+FOUND: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    FOUND[f.__name__] = f
+    return f
+
+
+def segments(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "segments").select("row_id", "book", "ord", "id", "title", "content")
+
+
+# texts and ids
+
+
+@query
+def split_lines(spark, d):
+    return sections.lines(table(spark, d, "documents"), "doc_id", "text").where("line <> ''")
+
+
+@query
+def nonspace_len(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.nonspace_len(F.col("text")).alias("n"))
+
+
+@query
+def clean_text(spark, d):
+    return segments(spark, d).select("row_id", T.clean_text(F.col("content")).alias("content"))
+
+
+@query
+def clean_answer(spark, d):
+    return table(spark, d, "translations").select("tr_id", T.clean_answer(F.col("content")).alias("content"))
+
+
+@query
+def base_clean(spark, d):
+    return table(spark, d, "crawl_pages").select("page_id", T.base_clean(F.col("content")).alias("content"))
+
+
+@query
+def xml_clean(spark, d):
+    return table(spark, d, "crawl_pages").select("page_id", T.xml_clean(F.col("content")).alias("content"))
+
+
+@query
+def para_html(spark, d):
+    return segments(spark, d).select("row_id", T.paragraphs_html(F.col("content")).alias("html"))
+
+
+@query
+def sentence_paragraphs(spark, d):
+    return segments(spark, d).select("row_id", T.sentence_paragraphs(F.col("content")).alias("content"))
+
+
+@query
+def id_parse_all(spark, d):
+    c, p, k = ids.chapter_of(F.col("id")), ids.parts_of(F.col("id")), ids.digits_key(F.col("id"))
+    return segments(spark, d).select(
+        "row_id", c["volume"].alias("r1_volume"), c["chapter"].alias("r1_chapter"), ids.segment_of(F.col("id")).alias("r2_segment"), ids.chapter_key(F.col("id")).alias("r3_key"),
+        ids.anchored_chapter(F.col("id")).alias("r4_chapter"), ids.volume_blind_chapter(F.col("id")).alias("r5_chapter"), p["volume"].alias("r6_volume"), p["chapter"].alias("r6_chapter"), p["segment"].alias("r6_segment"),
+        ids.upload_key(F.col("id")).alias("r7_key"), k["major"].alias("r8_major"), k["minor"].alias("r8_minor"),
+    )
+
+
+@query
+def output_names(spark, d):
+    b = table(spark, d, "books")
+    stem = F.regexp_replace("book", "^b", "")
+    return b.select(
+        "book", T.name_key(F.col("book")).alias("name_key"), T.safe_name(F.col("book_title")).alias("safe_name"), T.output_name(F.col("content_type"), stem, "context", "yaml").alias("output_name"), T.split_name(F.concat(F.col("book"), F.lit("_"), F.col("split_mode")), "yaml").alias("split_name"),
+        T.stamped_name(F.col("added_at"), F.lit("oai"), F.col("book"), F.col("split_mode")).alias("stamped_name"), T.shorten(F.concat("book_title", F.lit(" / "), "book_title", F.lit(" / "), "book_title")).alias("shortened"), T.mask(F.concat("book", F.lit("_secret_"), "book")).alias("masked"),
+    )
+
+
+# classifiers and sections
+
+
+def doc_lines(spark, d) -> DataFrame:
+    return sections.lines(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query
+def detect_headings(spark, d):
+    return sections.headings(doc_lines(spark, d)).where("kind <> 'body'").select("doc_id", "line_no", "kind", "number", "title")
+
+
+@query
+def sections_from_lines(spark, d):
+    s = sections.sections(doc_lines(spark, d), "doc_id")
+    return s.select("doc_id", "section", "section_id", "volume", "chapter", "title", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("text"))
+
+
+@query
+def out_of_order_chapters(spark, d):
+    """Chapter numbers of crawled headings out of sequence, by book."""
+    pages = table(spark, d, "crawl_pages")
+    rows = pages.select("book", F.col("page_id").alias("line_no"), classify.chapter_number(F.col("title")).alias("number")).where("number is not null").withColumn("kind", F.lit("chapter"))
+    return sections.order_warnings(rows, "book")
+
+
+@query
+def chapter_classes(spark, d):
+    c = classify.chapter_class(F.col("title"))
+    return table(spark, d, "chapter_catalog").select("cat_id", c["type"].alias("type"), c["number"].alias("number"), c["title"].alias("title"), c["is_special"].alias("is_special"))
+
+
+SITES = ((".example", "site_a"), (".test", "site_b"), (".invalid", "site_c"))
+
+
+@query
+def route_url(spark, d):
+    return table(spark, d, "crawl_pages").select("page_id", classify.route(F.col("url"), SITES).alias("parser"))
+
+
+@query
+def content_types(spark, d):
+    kinds = {"WebNovel": "yunji_raw", "Urban": "moque_raw", "Forum": "oldforum_raw"}
+    return table(spark, d, "documents").select("doc_id", classify.content_type(F.col("path"), kinds).alias("content_type"))
+
+
+@query
+def file_titles(spark, d):
+    stem = F.regexp_replace(F.regexp_replace("log_file", r"\.log$", ""), "-", "")
+    return table(spark, d, "request_log").select("log_id", classify.chapter_of_file(F.col("log_file"), F.col("log_id").cast("int")).alias("chapter"), classify.book_title_of_file(F.regexp_replace(stem, r"^\d\d", "")).alias("title"))
+
+
+# packing
+
+
+def packed(spark, d, most: int = 2000) -> DataFrame:
+    lines = F.filter(F.transform(T.split_lines(F.col("text")), T.strip_u), lambda x: x != "")
+    return pack.pack_lines(table(spark, d, "documents").select("doc_id", "lang", lines.alias("lines")), ["doc_id", "lang"], "lines", most)
+
+
+@query
+def pack_segments(spark, d):
+    return packed(spark, d).select("doc_id", "segment", "n_chars", "content")
+
+
+@query
+def pack_stats_by_lang(spark, d):
+    return packed(spark, d).groupBy("lang").agg(F.count("*").alias("n_segments"), F.countDistinct("doc_id").alias("n_docs"), F.sum("n_chars").alias("n_chars"), F.max("n_chars").alias("largest"))
+
+
+@query
+def section_segments(spark, d):
+    """Sections packed into segments with ids over the whole text."""
+    return pack.segments_of_sections(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id", 500)
+
+
+@query
+def section_simple_segments(spark, d):
+    return pack.simple_segments(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id")
+
+
+# reshaping
+
+
+@query
+def merge_chapters(spark, d):
+    return reshape.merge_chapters(segments(spark, d), ["book"])
+
+
+@query
+def chapter_json(spark, d):
+    n = reshape.chapter_nested(segments(spark, d), ["book"])
+    return n.select("book", "chapter_number", "chapter_title", "total_segments", F.array_join(F.transform("segments", lambda x: x["id"]), "|").alias("ids"), F.array_join(F.transform("segments", lambda x: F.length(F.coalesce(x["content"], F.lit(""))).cast("string")), "|").alias("lengths"))
+
+
+@query
+def chapter_index(spark, d):
+    i = reshape.chapter_index(reshape.chapter_nested(segments(spark, d), ["book"]), ["book"])
+    return i.select("book", "total_chapters", "total_segments", F.array_join(F.transform("chapters", lambda x: F.concat(x["filename"], F.lit(":"), x["segments_count"])), "|").alias("files"))
+
+
+@query
+def epub_order(spark, d):
+    return reshape.book_chapters(segments(spark, d), ["book"])
+
+
+@query
+def txt_order(spark, d):
+    return reshape.text_chapters(segments(spark, d), ["book"])
+
+
+@query
+def upload_plan_topn(spark, d):
+    return reshape.upload_plan(segments(spark, d), ["book"], "Volume_1", 3)
+
+
+@query
+def upload_files(spark, d):
+    return reshape.upload_files(segments(spark, d), ["book"])
+
+
+@query
+def add_segment_suffix(spark, d):
+    return reshape.with_segment_ids(reshape.merge_chapters(segments(spark, d), ["book"]).select("book", "id", "content"))
+
+
+@query
+def unique_chapter_titles(spark, d):
+    return reshape.unique_chapters(segments(spark, d), ["book"])
+
+
+@query
+def first_line_title(spark, d):
+    return reshape.retitled(segments(spark, d)).select("row_id", "title")
+
+
+@query
+def first_line_title_removed(spark, d):
+    return reshape.retitled(segments(spark, d), remove=True).select("row_id", "title", "content")
+
+
+@query
+def catalog_numbering(spark, d):
+    return reshape.numbered_catalog(table(spark, d, "chapter_catalog").select("cat_id", "book"), "book", "cat_id")
+
+
+@query
+def multi_url_merge(spark, d):
+    return reshape.merge_pages(table(spark, d, "chapter_catalog"), table(spark, d, "crawl_pages"))
+
+
+@query
+def volume_change_marker(spark, d):
+    return reshape.volume_changes(table(spark, d, "crawl_pages").select("page_id", "book", "chapter_num", "volume"), "book", ["chapter_num", "page_id"])
+
+
+@query
+def next_chain(spark, d):
+    """The chain of pages from the first address of the catalog's first entry."""
+    start = table(spark, d, "chapter_catalog").where("url <> ''").agg(F.min_by("url", "cat_id").alias("u")).first().u
+    return reshape.chain(table(spark, d, "crawl_pages"), start, most=200)
+
+
+@query
+def bilingual_split(spark, d):
+    """Chapters interleaved line by line, Chinese faded as in the source books, and split again."""
+    b = table(spark, d, "bilingual").where("content is not null")
+    style = F.when(F.col("lang") == "zh", "opacity:0.4").otherwise("")
+    lines = b.select("book", "id", "bil_id", style.alias("style"), F.posexplode(F.filter(F.transform(F.split("content", "\n"), T.strip_u), lambda x: x != "")).alias("i", "text"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("i", "bil_id", "text", "style"))), lambda x: F.struct(x["text"].alias("text"), x["style"].alias("style")))
+    out = reshape.split_languages(lines.groupBy("book", "id").agg(items.alias("p")), ["book", "id"], "p")
+    return out.select("book", "id", "lang", "title", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("text"))
+
+
+# filters and buckets
+
+
+@query
+def chapter_range(spark, d):
+    return filters.chapter_range(segments(spark, d), volumes=(1, 2), chapters=(3, 40)).select("row_id", "id")
+
+
+@query
+def segment_range(spark, d):
+    return filters.segment_range(segments(spark, d), segments=(5, 25)).select("row_id", "id")
+
+
+@query
+def chapter_bounds(spark, d):
+    return filters.bounds(segments(spark, d), ["book"])
+
+
+@query
+def catalog_slice(spark, d):
+    return filters.catalog_slice(table(spark, d, "chapter_catalog").select("book", "cat_id", "chapter_num"), ["book"], ["chapter_num", "cat_id"], 2, 6)
+
+
+@query
+def bucket_volume(spark, d):
+    return buckets.by_volume(segments(spark, d)).select("row_id", "batch_no", "batch_name")
+
+
+@query
+def bucket_aligned(spark, d):
+    return buckets.by_aligned_range(segments(spark, d), 20).select("row_id", "batch_no", "batch_name")
+
+
+@query
+def bucket_from_min(spark, d):
+    return buckets.by_range_from_first(segments(spark, d), ["book"], 15).select("row_id", "batch_no", "batch_name")
+
+
+@query
+def batch_totals(spark, d):
+    ok = F.col("content").isNotNull()
+    return buckets.batch_totals(buckets.by_aligned_range(table(spark, d, "translations").select("id", ok.alias("ok")), 20))
+
+
+# reconciling
+
+
+def done(spark, d) -> DataFrame:
+    return table(spark, d, "translations").select("tr_id", "book", "id", "title", "content")
+
+
+@query
+def restore_order_fallback(spark, d):
+    return reconcile.restore_order(segments(spark, d), done(spark, d), ["book", "id"], ["tr_id"])
+
+
+@query
+def patch_failed(spark, d):
+    s = table(spark, d, "bilingual").select("bil_id", "book", "id", "title", "content")
+    return reconcile.patch(s, done(spark, d), ["book", "id"], ["tr_id"], T.clean_text)
+
+
+@query
+def merge_titles(spark, d):
+    titles = reshape.unique_chapters(done(spark, d).withColumn("ord", F.col("tr_id")).withColumn("row_id", F.col("tr_id")), ["book"])
+    return reconcile.merge_titles(segments(spark, d), titles, ids.chapter_key(F.col("id")), ["book"]).select("row_id", "title")
+
+
+@query
+def failed_ids(spark, d):
+    return reconcile.failed_ids(table(spark, d, "request_log"))
+
+
+@query
+def failed_sources(spark, d):
+    failed = reconcile.failed_ids(table(spark, d, "request_log")).withColumn("book", F.regexp_extract("log_file", r"_[a-z]+_(b\d+_[a-z]+)\.log$", 1))
+    return reconcile.failed_sources(failed.select("log_id", "book", "id"), segments(spark, d), ["book", "id"])
+
+
+@query
+def untranslated(spark, d):
+    return reconcile.difference(segments(spark, d), done(spark, d), ["book", "id"])
+
+
+@query
+def catalog_coverage(spark, d):
+    return reconcile.coverage(table(spark, d, "crawl_pages"), table(spark, d, "chapter_catalog"), ["book", "chapter_num"])
+
+
+@query
+def catalog_lookup(spark, d):
+    pages = table(spark, d, "crawl_pages").select("page_id", "book", "chapter_num")
+    return reconcile.lookup(table(spark, d, "chapter_catalog"), pages, ["book", "chapter_num"])
+
+
+@query
+def catalog_by_number(spark, d):
+    return readers.catalog_by_title(table(spark, d, "chapter_catalog"), ["book"], "cat_id")
+
+
+@query
+def catalog_links(spark, d):
+    return readers.catalog_links(table(spark, d, "chapter_catalog"), ["cat_id", "book"], ["chapter_num"])
+
+
+@query
+def patch_titles(spark, d):
+    return reconcile.patch_titles(done(spark, d), segments(spark, d), ["book", "id"], ["ord", "row_id"]).select("tr_id", "title")
+
+
+# quality
+
+
+def compared(spark, d) -> DataFrame:
+    cat = reconcile.last_of(table(spark, d, "chapter_catalog"), ["book", "chapter_num"], ["title"], ["cat_id"]).withColumnRenamed("title", "listed")
+    return table(spark, d, "crawl_pages").select("page_id", "book", "chapter_num", "title").join(cat, ["book", "chapter_num"])
+
+
+@query
+def title_similarity(spark, d):
+    s = F.round(T.title_similarity(F.col("listed"), F.col("title")), 6)
+    return compared(spark, d).select("page_id", s.alias("similarity"), T.similarity_band(T.title_similarity(F.col("listed"), F.col("title"))).alias("band"))
+
+
+@query
+def similarity_bands(spark, d):
+    return compared(spark, d).groupBy(T.similarity_band(T.title_similarity(F.col("listed"), F.col("title"))).alias("band")).agg(F.count("*").alias("n_pages"))
+
+
+@query
+def parsed_log(spark, d):
+    return quality.parse_log(table(spark, d, "request_log"))
+
+
+@query
+def token_summary(spark, d):
+    return quality.token_summary(quality.parse_log(table(spark, d, "request_log")), ["log_file"])
+
+
+@query
+def crawl_summary(spark, d):
+    return quality.crawl_summary(table(spark, d, "crawl_pages"), ["site"])
+
+
+@query
+def status_by_type(spark, d):
+    tr = table(spark, d, "translations").join(table(spark, d, "books").select("book", "content_type"), "book")
+    status = F.when(F.col("content").isNull(), "error").when(F.trim("content") == "", "skip").otherwise("success")
+    return quality.status_summary(tr.select(F.coalesce("content_type", F.lit("none")).alias("content_type"), status.alias("status")), "content_type", "status")
+
+
+@query
+def round_robin(spark, d):
+    return transform.round_robin(table(spark, d, "request_log").select("log_id", "log_file"), 3, ["log_file"], ["log_id"])
+
+
+# html
+
+
+@query
+def html_text(spark, d):
+    p = table(spark, d, "crawl_pages")
+    made = F.concat(F.lit('<html><head><title>x</title><style>p{color:red}</style></head><body><h1>'), F.coalesce("title", F.lit("")), F.lit('</h1><script>var s = "</p>";</script><p>'), F.replace(F.coalesce("content", F.lit("")), F.lit("\n"), F.lit("<br/>")), F.lit("</p>&nbsp;&amp;</body></html>"))
+    return p.select("page_id", html.strip_u(html.strip_tags(html.element(made, "h1"))).alias("title"), html.text_of(html.element(made, "body")).alias("text"))
+
+
+# transform and incremental
+
+
+@query
+def stub_translate(spark, d):
+    return transform.transform(segments(spark, d).select("row_id", "content"), transform.Stub())
+
+
+def planned(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").select(F.col("path").alias("rel_path"), "text", "lang", "source", "crawled_at")
+    files = incremental.hashed(docs, "text")
+    modes = spark.createDataFrame([("context",), ("web",)], "mode string")
+    history = files.where("lang is not null").select("rel_path", F.when(F.col("source") == "yunji_raw", "web").otherwise("context").alias("mode"), F.when(F.col("lang") == "zh", F.col("file_hash")).otherwise(F.md5(F.col("lang"))).alias("file_hash"), F.col("crawled_at").alias("processed_date"))
+    outputs = files.where("source <> 'scanroom'").select("rel_path").crossJoin(F.broadcast(modes))  # two modes
+    return incremental.plan(files, modes, history, outputs)
+
+
+@query
+def needs_processing(spark, d):
+    return planned(spark, d)
+
+
+@query
+def missing_operations(spark, d):
+    return incremental.missing_operations(planned(spark, d))
+
+
+@query
+def operation_tree(spark, d):
+    """The plan's operations by content type (the source) and folder."""
+    p = planned(spark, d).withColumn("content_type", F.element_at(F.split("rel_path", "/"), 1))
+    return quality.folder_tree(p)
+
+
+def queries() -> dict[str, Query]:
+    return dict(FOUND)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in SQL.items() if k in FOUND}
