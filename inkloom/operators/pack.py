@@ -32,10 +32,10 @@ def pack_lines(df: DataFrame, keys: list[str], lines: str, most: int) -> DataFra
     A text is one row, so packing needs no shuffle; ``transform`` and
     ``filter`` rebuild the segments from the index of each line.
     """
-    numbered = df.select(*keys, F.col(lines).alias("l")).where(F.size("l") > 0).withColumn("k", segment_index(F.col("l"), most))
-    per = numbered.select(*keys, F.posexplode(F.sequence(F.lit(0), F.array_max("k"))).alias("segment", "_s"), "l", "k")
-    content = F.array_join(F.transform(F.filter(F.arrays_zip("l", "k"), lambda x: x["k"] == F.col("_s")), lambda x: x["l"]), "\n\n")
-    return per.select(*keys, "segment", content.alias("content")).withColumn("n_chars", nonspace_len(F.col("content")))
+    numbered = df.select(*keys, F.col(lines).alias("_lines")).where(F.size("_lines") > 0).withColumn("_at", segment_index(F.col("_lines"), most))
+    per = numbered.select(*keys, F.explode(F.sequence(F.lit(0), F.array_max("_at"))).alias("segment"), "_lines", "_at")
+    own = F.filter(F.arrays_zip("_lines", "_at"), lambda x: x["_at"] == F.col("segment"))
+    return per.select(*keys, "segment", F.array_join(F.transform(own, lambda x: x["_lines"]), "\n\n").alias("content")).withColumn("n_chars", nonspace_len(F.col("content")))
 
 
 def segments_of_sections(sections: DataFrame, key: str, most: int) -> DataFrame:

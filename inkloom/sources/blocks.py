@@ -6,14 +6,22 @@ import json
 import re
 
 
+_ODD = re.compile("[\\x00-\\x08\\x0b-\\x1f\\x7f-\\x9f\\u2028\\u2029\\ufeff\\ufffe\\uffff\\ud800-\\udfff]")
+
+
+def _quoted(value: str) -> str:
+    """A double-quoted scalar; characters that YAML doesn't print are escaped."""
+    return _ODD.sub(lambda m: f"\\u{ord(m[0]):04x}", json.dumps(value, ensure_ascii=False))
+
+
 def dump_value(key: str, value: str | None, indent: str) -> str:
     """One key of a segment: block style for texts with line breaks, quoted otherwise."""
     if value is None:
         return f"{indent}{key}: null\n"
-    plain = "\n" in value and not re.search(r"[^\S\n]\n|[\x00-\x08\x0b-\x1f\x7f-\x9f  ﻿\ud800-\udfff]", value) and not value.endswith((" ", "\t"))
     first = value.lstrip("\n")
-    if not plain or not first or first[0] in " \t":
-        return f"{indent}{key}: {json.dumps(value, ensure_ascii=False)}\n"
+    block = "\n" in value and first and first[0] not in " \t" and not value.startswith("\n") and not _ODD.search(value) and not re.search(r"[^\S\n]\n|[^\S\n]$", value)
+    if not block:
+        return f"{indent}{key}: {_quoted(value)}\n"
     body = value.rstrip("\n")
     tail = len(value) - len(body)
     mark = "|-" if tail == 0 else "|" if tail == 1 else "|+"

@@ -31,5 +31,5 @@ def write_batches(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int
 
 def event_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """window_start, event_type, n, total of events by event time; rows later than ``late`` are dropped by the watermark."""
-    w = events.withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    w = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return w.select(F.col("window.start").alias("window_start"), "event_type", "n", "total")
