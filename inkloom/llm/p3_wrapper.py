@@ -242,13 +242,13 @@ def frames(stream: DataFrame, share: float = 0.02, sentence_share: float = 0.08,
     ``sentence_share``, or ``outer_share`` when they mostly stand beside other
     sentences on one side at most) and on three at least, or when three hosts
     print it on a quarter of ``share`` of all pages. Openings of authors'
-    remarks never are. Counting is a pre-aggregated groupBy; a host has at most
+    remarks and chapter headings never are. Counting is a pre-aggregated groupBy; a host has at most
     lines-per-page / share tokens.
     """
     n = stream.groupBy("site").agg(F.count("*").alias("pages"))
     seen = (
         stream.select("site", F.explode(F.array_distinct(F.arrays_zip("tokens", "kinds", "inner"))).alias("t"))
-        .where("t.tokens <> ''")
+        .where((F.col("t.tokens") != "") & (F.col("t.kinds") != HEAD))
         .groupBy("site", F.col("t.tokens").alias("token"))
         .agg(F.count("*").alias("df"), F.max(F.col("t.kinds") == SENTENCE).alias("sentence"), F.sum(F.col("t.inner").cast("int")).alias("inside"))
         .where("df >= 2")

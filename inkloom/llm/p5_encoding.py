@@ -159,6 +159,8 @@ def _accept(text: str, stored: str, read: str, spans: list[tuple[int, int, str]]
     """The spans of a pair that are garbled, judged by what they become."""
     _, vi, common = alphabets()
     if stored == STORED_GB:
+        if read in READ_MANY_BYTES:  # such text is garbled into Han characters; a foreign script is none
+            spans = [x for x in spans if any("一" <= c <= "鿿" for c in text[x[0] : x[1]])]
         sure = [x for x in spans if len(x[2]) >= 2]
         if not sure or 2 * sum(c in common for _, _, x in spans for c in x) < sum(len(x) for _, _, x in spans):
             return []
