@@ -16,7 +16,7 @@ from inkloom.llm.grams import HAN, LETTER, LINE, MARK, U64, classes, mix, tokens
 
 HASH_BITS = 18
 NGRAMS = 3
-SAMPLE = 6000  # labelled documents that the classifiers are fitted on, at most
+SAMPLE = 3000  # labelled documents that the classifiers are fitted on, at most
 STOPS = "。！？!?…."
 
 
@@ -79,7 +79,7 @@ def _scores(row: np.ndarray, slot: np.ndarray, rows: int, weight: np.ndarray) ->
     return np.stack([np.bincount(row, w[slot], minlength=rows) for w in weight], axis=1)
 
 
-def _logistic(row: np.ndarray, slot: np.ndarray, rows: int, y: np.ndarray, weight_of: np.ndarray, cols: int, rounds: int = 80, rate: float = 0.5, decay: float = 2e-5) -> tuple[np.ndarray, np.ndarray]:
+def _logistic(row: np.ndarray, slot: np.ndarray, rows: int, y: np.ndarray, weight_of: np.ndarray, cols: int, rounds: int = 50, rate: float = 0.5, decay: float = 2e-5) -> tuple[np.ndarray, np.ndarray]:
     """One-versus-rest logistic regression by full-batch adaptive gradients: (classes x columns weights, biases)."""
     k = y.shape[1]
     w, b = np.zeros((k, cols)), np.full(k, -2.0)
@@ -158,10 +158,9 @@ def fit(texts: list[str], labels: list[list[str]], subjects: list[str], seed: in
     w, _ = _logistic(newid[dr[use]], dc[use], int(train.sum()), y[train], np.ones((int(train.sum()), k)), cols)
     # sentences
     keep = useful[f.slot]
-    sr, sc = _unique(f.sentence[keep], f.slot[keep])
-    sc = col[sc]
+    sr, sc = f.sentence[keep], col[f.slot[keep]]
     sy = y[f.doc]
-    for _ in range(2):
+    for rounds in (25, 60):
         s = _scores(sr, sc, f.sentences, np.maximum(w, 0))
         best = np.zeros((n, k))
         np.maximum.at(best, f.doc, s)
@@ -172,7 +171,7 @@ def fit(texts: list[str], labels: list[list[str]], subjects: list[str], seed: in
         live = np.zeros(f.sentences, dtype=bool)
         live[sr] = True
         weight_of *= live[:, None]
-        w, bias = _logistic(sr, sc, f.sentences, target.astype(float), weight_of, cols, rounds=120)
+        w, bias = _logistic(sr, sc, f.sentences, target.astype(float), weight_of, cols, rounds=rounds)
     size = np.sqrt(np.maximum(1, np.bincount(sr, minlength=f.sentences)))
     s = _scores(sr, sc, f.sentences, w) / size[:, None] + bias
     s[np.bincount(sr, minlength=f.sentences) == 0] = -30
@@ -218,7 +217,7 @@ def predict(m: Model, texts: list[str]) -> list[list[str]]:
     f = features(texts, m.known)
     if not f.sentences:
         return [[] for _ in texts]
-    sr, sc = _unique(f.sentence, f.slot)
+    sr, sc = f.sentence, f.slot
     size = np.bincount(sr, minlength=f.sentences)
     s = _scores(sr, sc, f.sentences, m.weight) / np.sqrt(np.maximum(1, size))[:, None] + m.bias
     s[size == 0] = -30

@@ -24,7 +24,7 @@ def story(k):
 # p2
 
 
-@pytest.mark.parametrize("text, how", [("A b.", p2.COMPLETE), ("他说。”", p2.OPEN), ("he wen", p2.OPEN), ("the end...", p2.ELLIPSIS), ("x &nbs", p2.CUT), ("x \\u4e", p2.CUT), ("x<p class=\"t", p2.CUT), ("“别碰", p2.CUT), ("x [...]", p2.CUT), ("x …[+97 chars]", p2.CUT), ("x�", p2.CUT), ("", p2.COMPLETE), (" 　\n", p2.COMPLETE), ("x... (read more)", p2.CUT)])
+@pytest.mark.parametrize("text, how", [("A b.", p2.COMPLETE), ("他说。”", p2.COMPLETE), ("他喊：“走！”", p2.OPEN), ("“走！快走！”", p2.COMPLETE), ("he wen", p2.OPEN), ("the end...", p2.ELLIPSIS), ("x &nbs", p2.CUT), ("x \\u4e", p2.CUT), ("x<p class=\"t", p2.CUT), ("“别碰", p2.CUT), ("x [...]", p2.CUT), ("x …[+97 chars]", p2.CUT), ("x�", p2.CUT), ("", p2.COMPLETE), (" 　\n", p2.COMPLETE), ("x... (read more)", p2.CUT)])
 def test_endings(text, how):
     assert p2.ending(text) == how
 
