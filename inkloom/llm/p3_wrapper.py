@@ -22,7 +22,10 @@ ENDING = regex.compile(r"[。！？!?.…”’」』\"】\]—~～]['”’」
 TRAIL = regex.compile(r"\s[/»>›→|·]\s|\s«\s")
 NUMBER = regex.compile(r"\d+")
 
-TEXT, SENTENCE, HEAD, PATH = 0, 1, 2, 3  # kinds of a line that isn't the host's
+# A title or name in front of a sentence, as lists of other works and comments have it.
+LABELLED = regex.compile(r"^\s*(?:《[^》]{1,40}》\s*[:：]|[^\s:：。！？.!?“\"「][^:：。！？.!?“\"「]{0,60}(?:\s[—–]\s|:\s|：))")
+
+TEXT, SENTENCE, HEAD, PATH, ITEM = 0, 1, 2, 3, 4  # kinds of a line that isn't the host's
 SLOT = "\x01"  # in tokens, the host's name
 BODY = "\x00body"
 OTHER = "\x00text"
@@ -47,6 +50,8 @@ def kind(line: str) -> int:
         return HEAD
     if TRAIL.search(t) and not ENDING.search(t):
         return PATH
+    if LABELLED.match(t) and not REMARK.match(t):
+        return ITEM
     return SENTENCE if ENDING.search(t) or line.startswith("　　") else TEXT
 
 
@@ -54,7 +59,7 @@ def block(tokens: list[str], kinds: list[int], frame: set[str]) -> tuple[int, in
     """The run of lines with the most text and the fewest tokens of the host: a first guess of the body."""
     best, at, total, start = (0.0, 0, 0), 0, 0.0, 0
     for at, (t, k) in enumerate(zip(tokens, kinds)):
-        v = 0.0 if not t else -1.5 if t in frame else {SENTENCE: 1.0, HEAD: 0.6, TEXT: -0.4, PATH: -2.0}[k]
+        v = 0.0 if not t else -1.5 if t in frame else {SENTENCE: 1.0, HEAD: 0.6, TEXT: -0.4, ITEM: 0.2, PATH: -2.0}[k]
         if total <= 0:
             total, start = 0.0, at
         total += v
@@ -136,7 +141,7 @@ def label(tokens: list[str], kinds: list[int], remarks: list[bool], role: dict[s
             total = sum(c) + 0.3
             cost.append(tuple(max(-4.0, math.log((x + 0.1) / total)) for x in c))
         else:
-            cost.append({SENTENCE: (-2.0, 0.0, -1.6), HEAD: (-3.0, 0.0, -1.2), TEXT: (-0.7, -1.4, -0.7), PATH: (-0.2, -4.0, -0.7)}[k])
+            cost.append({SENTENCE: (-2.5, 0.0, -3.5), HEAD: (-3.0, 0.0, -1.5), TEXT: (-0.7, -1.4, -0.7), ITEM: (-1.0, -0.8, -0.2), PATH: (-0.2, -4.0, -0.7)}[k])
     n = len(cost)
     best = [0.0, -1e9, -1e9]
     back = []
