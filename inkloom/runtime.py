@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 _SHIPPED: set[str] = set()
 
@@ -51,6 +52,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def broadcast_if(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has ``most`` rows at the most, counted; else as it is, to be shuffled."""
+    return broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
