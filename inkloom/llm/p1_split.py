@@ -12,6 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkloom.runtime import broadcast_if
+
 # The characters with Unicode's White_Space property.
 WHITE_SPACE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
@@ -122,7 +124,7 @@ def split_oversized(segments: DataFrame, books: DataFrame, limits: DataFrame) ->
     )
     large = (
         segments.select("row_id", "book", "id", "title", "content")
-        .join(caps, "book")
+        .join(broadcast_if(caps), "book")
         .where(F.length("content") > F.col("max_chars"))
         .where(size(F.col("content")) > F.col("max_chars"))
     )

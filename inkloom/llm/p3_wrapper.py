@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.p5_encoding import repair
-from inkloom.runtime import materialize
+from inkloom.runtime import broadcast_if, materialize
 
 # Chapter headings and openings of authors' remarks.
 HEADING = regex.compile(r"(?:第\s*[0-9０-９零〇一二两三四五六七八九十百千]+\s*[章回话節节卷]|(?:chapter|chap\.?|chương|volume|vol\.|quyển)\s*\d+)", regex.IGNORECASE)
@@ -26,6 +26,7 @@ NUMBER = regex.compile(r"\d+")
 LABELLED = regex.compile(r"^\s*(?:《[^》]{1,40}》\s*[:：]|[^\s:：。！？.!?“\"「][^:：。！？.!?“\"「]{0,60}(?:\s[—–]\s|:\s|：))")
 
 TEXT, SENTENCE, HEAD, PATH, ITEM = 0, 1, 2, 3, 4  # kinds of a line that isn't the host's
+HOSTS = 500  # hosts up to which their frames and wrappers (some 100 KB each at most) are broadcast
 SLOT = "\x01"  # in tokens, the host's name
 BODY = "\x00body"
 OTHER = "\x00text"
@@ -232,7 +233,7 @@ def streams(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=_STREAM)
 
     return (
-        pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content").join(names, "site", "left")
+        pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content").join(broadcast_if(names, HOSTS), "site", "left")
         .mapInArrow(run, "page_id long, site string, title string, lines array<string>, tokens array<string>, kinds array<int>, inner array<boolean>")
     )
 
@@ -271,13 +272,14 @@ def frames(stream: DataFrame, share: float = 0.02, sentence_share: float = 0.08,
     )
 
 
-def wrappers(stream: DataFrame, frame: DataFrame, salts: int = 16) -> DataFrame:
+def wrappers(stream: DataFrame, frame: DataFrame, each: int = 2000) -> DataFrame:
     """site, roles: what the wrapper inferred for each host says of its tokens.
 
-    Equal skeletons are counted first. A host's skeletons are aligned in
-    ``salts`` parts, and the parts' wrappers, which are as long as the host's
+    Equal skeletons are counted first. A host's skeletons are aligned in parts
+    of about ``each``, and the parts' wrappers, which are as long as the host's
     template, are aligned with each other.
     """
+
     def skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
@@ -290,7 +292,7 @@ def wrappers(stream: DataFrame, frame: DataFrame, salts: int = 16) -> DataFrame:
                 rows.append({"site": r["site"], "symbols": symbols, "inside": inside})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("site", pa.string()), ("symbols", pa.list_(pa.string())), ("inside", pa.list_(pa.string()))]))
 
-    sk = materialize(stream.select("site", "tokens", "kinds").join(frame, "site", "left").mapInArrow(skeletons, "site string, symbols array<string>, inside array<string>"), "skeletons")
+    sk = materialize(stream.select("site", "tokens", "kinds").join(broadcast_if(frame, HOSTS), "site", "left").mapInArrow(skeletons, "site string, symbols array<string>, inside array<string>"), "skeletons")
     inside = sk.select("site", F.explode("inside").alias("token")).groupBy("site", "token").agg(F.count("*").alias("n"))
     inside = inside.groupBy("site").agg(F.map_from_entries(F.collect_list(F.struct("token", F.col("n").cast("double")))).alias("inside"))
 
@@ -305,7 +307,9 @@ def wrappers(stream: DataFrame, frame: DataFrame, salts: int = 16) -> DataFrame:
         r = roles(w)
         return pd.DataFrame({"site": [pdf["site"].iloc[0]], "token": [list(r)], "before": [[r[t][0] for t in r]], "after": [[r[t][2] for t in r]]})
 
-    counted = sk.groupBy("site", "symbols").agg(F.count("*").alias("n")).withColumn("salt", F.pmod(F.xxhash64("symbols"), F.lit(salts)).cast("int"))
+    counted = materialize(sk.groupBy("site", "symbols").agg(F.count("*").alias("n")), "counted")
+    parts_of = counted.groupBy("site").agg(F.ceil(F.count("*") / each).alias("parts"))
+    counted = counted.join(broadcast_if(parts_of), "site").withColumn("salt", F.pmod(F.xxhash64("symbols"), F.col("parts")).cast("int"))
     parts = counted.groupBy("site", "salt").applyInPandas(part, "site string, salt int, symbols array<string>, counts array<int>")
     done = parts.groupBy("site").applyInPandas(whole, "site string, token array<string>, before array<double>, after array<double>")
     return done.join(inside, "site", "left")
@@ -339,7 +343,7 @@ def main_bodies(pages: DataFrame) -> DataFrame:
                 rows.append({"page_id": r["page_id"], "own": own, "blank": [not t for t in r["tokens"]], "body": "\n".join(x for x, o in zip(r["lines"], own) if o), "heading": heading, "title_extra": extra})
             yield pa.RecordBatch.from_pylist(rows, schema=_BODY)
 
-    return stream.join(wrapper, "site", "left").mapInArrow(run, "page_id long, own array<boolean>, blank array<boolean>, body string, heading string, title_extra boolean")
+    return stream.join(broadcast_if(wrapper, HOSTS), "site", "left").mapInArrow(run, "page_id long, own array<boolean>, blank array<boolean>, body string, heading string, title_extra boolean")
 
 
 _BODY = pa.schema([("page_id", pa.int64()), ("own", pa.list_(pa.bool_())), ("blank", pa.list_(pa.bool_())), ("body", pa.string()), ("heading", pa.string()), ("title_extra", pa.bool_())])

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.p4_pairs import language
@@ -132,10 +132,11 @@ def chapters(bilingual: DataFrame, tasks: int) -> DataFrame:
     Columns: bil_id_a < bil_id_b, swapped (whether a's language comes second),
     pair (the two languages), words_a and words_b (the words of each line).
     """
-    w = Window.partitionBy("book", "id").orderBy("bil_id").rowsBetween(Window.unboundedPreceding, -1)
     rows = bilingual.where("book is not null and id is not null").select("bil_id", "book", "id", "lang", "content")
-    first = F.first(F.struct("bil_id", "lang", "content")).over(w)
-    both = rows.withColumn("a", first).where("a.bil_id < bil_id").select(F.col("a.bil_id").alias("id_a"), F.col("a.lang").alias("lang_a"), F.col("a.content").alias("text_a"), F.col("bil_id").alias("id_b"), F.col("lang").alias("lang_b"), F.col("content").alias("text_b"))
+    firsts = rows.groupBy("book", "id").agg(F.min("bil_id").alias("id_a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = rows.join(firsts, ["book", "id"]).where("bil_id > id_a").select("id_a", F.col("bil_id").alias("id_b"), F.col("lang").alias("lang_b"), F.col("content").alias("text_b"))
+    lead = rows.select(F.col("bil_id").alias("id_a"), F.col("lang").alias("lang_a"), F.col("content").alias("text_a"))
+    both = later.join(lead, "id_a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

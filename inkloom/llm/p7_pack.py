@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.scans import running, unit_hash
@@ -101,7 +101,7 @@ def _best_pair(sizes: list[int], left: dict[int, int], j: int, room: int, taken:
     return best
 
 
-def pack(sizes: DataFrame, caps: DataFrame, buckets: int = 64) -> DataFrame:
+def pack(sizes: DataFrame, caps: DataFrame, rows_each: int = 50_000) -> DataFrame:
     """Containers for all documents of ``sizes`` (doc_id, n_tokens), for each capacity.
 
     Columns: cap_name, container_id, doc_id, part_no, from_token, n_tokens. A
@@ -113,10 +113,11 @@ def pack(sizes: DataFrame, caps: DataFrame, buckets: int = 64) -> DataFrame:
 
     Only the histograms of sizes (at most ``capacity`` rows each) and the
     patterns go through the driver; documents are matched to places by size and
-    rank, with ranks from two-level running counts, so one frequent size is
-    never sorted in one task.
+    rank, with ranks from two-level running counts over ranges of about
+    ``rows_each`` documents, so one frequent size is never sorted in one task.
     """
     spark = sizes.sparkSession
+    buckets = max(16, sizes.count() // rows_each)
     caps = caps.where("capacity_tokens >= 1").select("cap_name", F.col("capacity_tokens").cast("long").alias("cap")).distinct()
     items = sizes.select("doc_id", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n")).crossJoin(F.broadcast(caps))  # a few capacities
     full = F.when(F.col("n") > F.col("cap"), F.expr("n div cap")).otherwise(F.lit(0))

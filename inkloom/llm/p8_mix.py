@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkloom.llm.scans import running, unit_hash
 
 
-def mix(sizes: DataFrame, targets: DataFrame, budget: int | None = None, seed: int = 11, buckets: int = 64) -> DataFrame:
+def mix(sizes: DataFrame, targets: DataFrame, budget: int | None = None, seed: int = 11, rows_each: int = 50_000) -> DataFrame:
     """The selection from ``sizes`` (doc_id, source, n_tokens) whose shares meet ``targets``.
 
     Columns: source, doc_id, copy_no, n_tokens, finish. Each source sends its
@@ -33,6 +33,7 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: int | None = None, seed: i
     by_source = goal.join(held, "source").collect()  # one row for each source with a target
     if not by_source:
         return sizes.sparkSession.createDataFrame([], "source string, doc_id long, copy_no int, n_tokens long, finish double")
+    buckets = max(16, sizes.count() // rows_each)
     whole = sum(r.share for r in by_source)
     reach = min(r.held * r.times * whole / r.share for r in by_source)
     end = float(min(budget, reach) if budget is not None else reach)
