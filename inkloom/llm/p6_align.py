@@ -222,7 +222,7 @@ def expectations(chapter: DataFrame, packed: dict[str, tuple] | None) -> DataFra
                     counts = chapter_counts(g, known.get(pair))
                     held.setdefault(pair, []).append(counts)
                     size[pair] = size.get(pair, 0) + len(counts[0])
-                    if size[pair] > 3_000_000:
+                    if size[pair] > 1_000_000:
                         held[pair] = [_sum_counts(held[pair])]
                         size[pair] = 0
         for pair, parts in held.items():
