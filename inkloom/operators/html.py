@@ -170,3 +170,35 @@ def extract(html: Column, url: Column, parser: Column) -> Column:
         F.when(parser == "hjwzw", hjwzw(html)).when(parser == "tw", linovelib(html)).when(parser == "quanben", quanben(html)).when(parser == "zhswx", zhswx(html))
         .when(parser == "dxmwx", dxmwx(html)).when(parser == "piaotia", piaotia(html, url)).when(parser == "shuba", shuba(html, url)).when(parser == "sto55", sto55(html, url)).when(parser == "czbooks", czbooks(html, url))
     )
+
+
+def _links(html: Column) -> Column:
+    """The (url, text) of all links, in order."""
+    hrefs = F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*href=[\"']([^\"']*)[\"'][^>]*>.*?</a\s*>"), F.lit(1))
+    names = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*href=[\"'][^\"']*[\"'][^>]*>(.*?)</a\s*>"), F.lit(1)), _inline)
+    return F.arrays_zip(hrefs.alias("url"), names.alias("text"))
+
+
+def novel_info(html: Column, url: Column) -> Column:
+    """(title, cover, author, tags, synopsis) of a book's page; tags from its script and its class links."""
+    head = F.regexp_extract(html, r"(?is)<div[^>]*class=[\"'][^\"']*booknav2[^\"']*[\"'][^>]*>(.*?)</div>", 1)
+    cover = F.regexp_extract(html, r"(?is)<div[^>]*bookimg2[^>]*>.*?<img[^>]*src=[\"']([^\"']*)", 1)
+    pick = lambda part: F.transform(F.filter(_links(head), lambda a: a["url"].contains(part)), lambda a: a["text"])
+    scripted = F.filter(F.transform(F.split(F.regexp_extract(html, r"tags:\s*'([^']+)'", 1), r"\|"), strip_u), lambda t: t != "")
+    synopsis = F.array_join(filled(entities(strip_tags(breaks(F.regexp_extract(html, r"(?is)<div[^>]*navtxt[^>]*>(.*?)</div>", 1))))), "\n")
+    return F.struct(
+        _inline(element(head, "h1")).alias("title"), F.when(cover != "", join_url(cover, url)).alias("cover"), F.try_element_at(pick("author"), F.lit(1)).alias("author"),
+        F.array_distinct(F.concat(scripted, pick("/class/"))).alias("tags"), synopsis.alias("synopsis"),
+    )
+
+
+def novel_chapters(html: Column, url: Column, per_volume: int = 100) -> Column:
+    """(id, volume, title, url) of the links in a book's catalog, ``per_volume`` chapters a volume."""
+    block = F.regexp_extract(html, r"(?is)<div[^>]*id=[\"']catalog[\"'][^>]*>(.*?)</div>", 1)
+    return F.transform(_links(block), lambda a, i: F.struct((i + 1).alias("id"), (F.floor(i / per_volume) + 1).cast("int").alias("volume"), a["text"].alias("title"), join_url(a["url"], url).alias("url")))
+
+
+def search_results(html: Column, url: Column) -> Column:
+    """(title, url, info) of each entry of a search page."""
+    items = F.regexp_extract_all(F.regexp_extract(html, r"(?is)<div[^>]*newbox[^>]*>(.*)", 1), F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), F.lit(1))
+    return F.transform(items, lambda li: F.struct(F.initcap(_inline(element(li, "h3"))).alias("title"), join_url(F.regexp_extract(li, r"(?is)<a[^>]*href=[\"']([^\"']*)", 1), url).alias("url"), F.concat(F.lit("Latest: "), _inline(F.regexp_extract(li, r"(?is)zxzj[^>]*>.*?<p[^>]*>(.*?)</p>", 1))).alias("info")))

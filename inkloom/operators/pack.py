@@ -55,6 +55,23 @@ def segments_of_sections(sections: DataFrame, key: str, most: int) -> DataFrame:
     )
 
 
+def plain_segments(sections: DataFrame, key: str, most: int) -> DataFrame:
+    """As segments_of_sections for text output: sections in their own order, ids without a volume, repeated titles kept."""
+    s = sections.withColumn("title", F.element_at("lines", 1)).withColumn("body", F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))))
+    packed = pack_lines(s, [key, "section", "chapter", "title"], "body", most)
+    n = F.row_number().over(Window.partitionBy(key).orderBy("section", "segment"))
+    return packed.withColumn("ord", n).select(key, "ord", F.concat(F.lit("Chapter_"), F.col("chapter"), F.lit("_Segment_"), F.col("ord")).alias("id"), "title", "content")
+
+
+def render(sections: DataFrame, key: str, fmt: str = "yaml", mode: int = 1, most: int = 5000) -> DataFrame:
+    """The segments of a format (yaml or txt) and a mode: 2 gives one segment for each section, any other packs."""
+    if fmt not in ("yaml", "txt"):
+        raise ValueError(f"no format {fmt}")
+    if mode == 2:
+        return simple_segments(sections, key)
+    return segments_of_sections(sections, key, most) if fmt == "yaml" else plain_segments(sections, key, most)
+
+
 def simple_segments(sections: DataFrame, key: str) -> DataFrame:
     """One segment for each section that holds text besides its title: key, ord, id ``Segment_n``, title, content."""
     body = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,10 @@ def folder_tree(plan: DataFrame) -> DataFrame:
 def outcome(df: DataFrame, keys: list[str], name: str, ok: str) -> DataFrame:
     """keys, successes, failures and the names of the failures in order."""
     return df.groupBy(*keys).agg(F.count_if(ok).alias("n_ok"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("n_failed"), F.array_sort(F.collect_list(F.when(~F.coalesce(ok, F.lit(False)), F.col(name)))).alias("failed_names"))
+
+
+def progress(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """With done_percent: how much of its key's work is done with each row, in order."""
+    total = df.groupBy(*keys).agg(F.count("*").alias("_total"))
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_n", n).join(total, keys).withColumn("done_percent", F.round(100.0 * F.col("_n") / F.col("_total"), 4)).drop("_n", "_total")

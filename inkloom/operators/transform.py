@@ -91,3 +91,16 @@ def round_robin(df: DataFrame, keys: int, group: list[str], order: list[str]) ->
     """With worker: the request's position in its group, modulo the number of keys."""
     n = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("worker", F.pmod(n - 1, F.lit(keys)))
+
+
+def transform_titles(segments: DataFrame, client: SegmentTransform, keys: list[str], system: str = "") -> DataFrame:
+    """keys, chapter_key, title, ok: one answer for each chapter that has a title, the title itself where that fails.
+
+    The work is done once for each chapter, then merged into its segments by
+    reconcile.merge_titles; ``ok`` counts real answers, not fallbacks.
+    """
+    from inkloom.functions.text import title_answer
+    from inkloom.operators.reshape import unique_chapters
+
+    done = transform(unique_chapters(segments, keys), client, system, text="title")
+    return done.select(*keys, "chapter_key", F.when(F.col("ok"), title_answer(F.col("title"))).otherwise(F.col("title")).alias("title"), "ok")

@@ -181,6 +181,10 @@ SQL: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY volume ASC NULLS LAST, chapter, section, segment) AS n FROM p)""",
     "section_simple_segments": f"""{SECTIONS}, t AS (SELECT doc_id, section, title, array_to_string({BODY.format(t='title')}, {SEP}) AS body FROM s)
         SELECT doc_id, n::INTEGER AS ord, 'Segment_' || n AS id, title, '''' || title || {SEP} || body AS content FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section) AS n FROM t WHERE body <> '')""",
+    "section_plain_segments": f"""{SECTIONS}, t AS (SELECT doc_id, section, chapter, lines[1] AS title, lines[2:] AS l FROM s), p AS ({packed('SELECT * FROM t', 'doc_id, section, chapter, title', 800)})
+        SELECT doc_id, n::INTEGER AS ord, 'Chapter_' || chapter || '_Segment_' || n AS id, title, content FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section, segment) AS n FROM p)""",
+    "section_text_layout": f"""{SECTIONS}, t AS (SELECT doc_id, section, chapter, lines[1] AS title, lines[2:] AS l FROM s), p AS ({packed('SELECT * FROM t', 'doc_id, section, chapter, title', 800)})
+        SELECT doc_id, string_agg('Chapter_' || chapter || '_Segment_' || n || {NL} || title || {NL} || content || {NL}, {NL} ORDER BY n) AS text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section, segment) AS n FROM p) GROUP BY doc_id""",
     "merge_chapters": MERGED,
     "chapter_json": f"SELECT book, chapter_number, chapter_title, total_segments, array_to_string(ids, '|') AS ids, array_to_string(lengths, '|') AS lengths FROM ({NESTED})",
     "chapter_index": f"SELECT book, count(*) AS total_chapters, sum(total_segments)::BIGINT AS total_segments, string_agg('chapter_' || lpad(chapter_number::VARCHAR, greatest(3, length(chapter_number::VARCHAR))::INTEGER, '0') || '.json:' || total_segments, '|' ORDER BY chapter_number) AS files FROM ({NESTED}) GROUP BY book",
@@ -237,6 +241,8 @@ SQL: dict[str, str] = {
     "round_robin": "SELECT log_id, log_file, ((row_number() OVER (PARTITION BY log_file ORDER BY log_id) - 1) % 3)::INTEGER AS worker FROM request_log",
     "html_text": f"SELECT page_id, {strip(f'''coalesce(title, '')''')} AS title, array_to_string(list_filter(list_transform(regexp_split_to_array(x, '{LINE_END}'), lambda y: {strip('y')}), lambda y: y <> ''), {NL}) AS text FROM (SELECT page_id, title, {ENT.format(x=NOTAGS)} AS x FROM (SELECT page_id, title, {HTML} AS h FROM crawl_pages))",
     "stub_translate": f"SELECT row_id, '[stub] ' || {strip("coalesce(content, '')")} AS content, true AS ok, NULL::VARCHAR AS error, (length(coalesce(content, '')) + 2)::BIGINT AS in_tokens, (length({strip("coalesce(content, '')")}) + 7)::BIGINT AS out_tokens, 1::INTEGER AS attempts FROM segments",
+    "title_map": f"SELECT book, chapter_key, replace(replace({strip("'[stub] ' || " + strip('title'))}, '\"', ''), '\\n', {NL}) AS title, true AS ok FROM (SELECT book, {R3} AS chapter_key, first(title ORDER BY ord, row_id) AS title FROM segments WHERE {R3} IS NOT NULL AND {strip("coalesce(title, '')")} <> '' GROUP BY 1, 2)",
+    "run_progress": "SELECT log_id, log_file, round(100.0 * row_number() OVER (PARTITION BY log_file ORDER BY log_id) / count(*) OVER (PARTITION BY log_file), 4)::DOUBLE AS done_percent FROM request_log",
     "needs_processing": f"{PLAN} SELECT rel_path, mode, reason <> 'up to date' AS needed, reason FROM p",
     "missing_operations": f"{PLAN} SELECT rel_path, mode, reason FROM p WHERE reason <> 'up to date'",
     "operation_tree": f"{PLAN} SELECT string_split(rel_path, '/')[1] AS content_type, regexp_extract(rel_path, '^(.*)/[^/]*$', 1) AS folder, count(DISTINCT rel_path) AS files, count(*) AS operations, count_if(reason <> 'up to date')::BIGINT AS new_operations FROM p GROUP BY 1, 2",

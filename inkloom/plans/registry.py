@@ -171,6 +171,17 @@ def section_simple_segments(spark, d):
     return pack.simple_segments(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id")
 
 
+@query
+def section_plain_segments(spark, d):
+    return pack.render(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id", "txt", 1, 800)
+
+
+@query
+def section_text_layout(spark, d):
+    """Each text as its segments are written to a text file."""
+    return pack.text_layout(pack.render(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id", "txt", 1, 800), "doc_id")
+
+
 # reshaping
 
 
@@ -438,6 +449,17 @@ def stub_translate(spark, d):
     return transform.transform(segments(spark, d).select("row_id", "content"), transform.Stub())
 
 
+@query
+def title_map(spark, d):
+    """One answer for each chapter title."""
+    return transform.transform_titles(segments(spark, d), transform.Stub(), ["book"])
+
+
+@query
+def run_progress(spark, d):
+    return quality.progress(table(spark, d, "request_log").select("log_id", "log_file"), ["log_file"], ["log_id"])
+
+
 def planned(spark, d) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("path").alias("rel_path"), "text", "lang", "source", "crawled_at")
     files = incremental.hashed(docs, "text")

@@ -120,3 +120,23 @@ def log_line(ts: Column, segment: Column, ok: Column, tokens_in: Column, tokens_
     head = F.concat(F.lit("["), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("] "), segment, F.lit(": "))
     used = F.concat(F.lit(" | Tokens: In="), F.coalesce(tokens_in, F.lit(0)), F.lit(", Out="), F.coalesce(tokens_out, F.lit(0)))
     return F.concat(head, F.when(ok, F.concat(F.lit("THÀNH CÔNG"), used)).otherwise(F.concat(F.lit("THẤT BẠI - Lỗi: "), F.coalesce(error, F.lit("")))))
+
+
+def sequential_text(chapters: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """key, text: chapters numbered in order, each with its heading, ``(empty)`` for those without text."""
+    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    body = F.when(F.coalesce("content", F.lit("")) == "", F.lit("(empty)")).otherwise(F.col("content"))
+    rows = chapters.withColumn("_n", n).withColumn("_b", F.concat(F.lit("Chapter "), F.col("_n"), F.lit(": "), F.coalesce("title", F.lit("")), F.lit("\n"), body, F.lit("\n\n")))
+    return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_b"))), lambda x: x["_b"]), "").alias("text"))
+
+
+def backup_name(name: Column, ts: Column) -> Column:
+    """The name under which a file is kept before it is written anew."""
+    return F.concat(F.date_format(ts, "ddMMyy_HHmm"), F.lit("_backup_"), name)
+
+
+def log_text(header: str, lines: DataFrame, order: list[str]) -> DataFrame:
+    """text of a log: header, lines in order, and a summary of its requests (line, ok, in_tokens, out_tokens)."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "line"))), lambda x: x["line"]), "\n")
+    summary = F.concat(F.lit("\nRequests: "), F.count("*"), F.lit(", failed: "), F.count_if(~F.col("ok")), F.lit(", tokens in: "), F.coalesce(F.sum("in_tokens"), F.lit(0)), F.lit(", out: "), F.coalesce(F.sum("out_tokens"), F.lit(0)), F.lit("\n"))
+    return lines.agg(F.concat(F.lit(header + "\n"), body, summary).alias("text"))

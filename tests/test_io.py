@@ -80,6 +80,10 @@ def test_chapter_files_and_layouts(spark, tmp_path):
     assert open(tmp_path / "t" / "b_00001.txt").read() == "Chương 1: T\n\nx\n\ny\n\n"
     crawl = spark.createDataFrame([("b", 1, "V1", "A", "x"), ("b", 2, "V1", None, ""), ("b", 3, "V2", "C", "z")], "book string, chapter_num int, volume string, title string, content string")
     assert writers.crawl_text(crawl, "book", ["chapter_num"]).first().text == "=== b ===\n\nV1\n\nChương 1: A\nx\n\nChương 2: \n(empty)\n\nV2\n\nChương 3: C\nz\n\n"
+    assert writers.sequential_text(crawl, "book", ["chapter_num"]).first().text.startswith("Chapter 1: A\nx\n\nChapter 2: \n(empty)\n\n")
+    log = spark.createDataFrame([(1, "l1", True, 2, 3), (2, "l2", False, None, None)], "n int, line string, ok boolean, in_tokens long, out_tokens long")
+    assert writers.log_text("h", log, ["n"]).first().text == "h\nl1\nl2\nRequests: 2, failed: 1, tokens in: 2, out: 3\n"
+    assert spark.sql("select timestamp'2025-01-02 10:00:00' t").select(writers.backup_name(F.lit("a.yaml"), F.col("t"))).first()[0] == "020125_1000_backup_a.yaml"
     line = spark.sql("select timestamp'2025-01-01 10:00:00' t").select(writers.log_line(F.col("t"), F.lit("a"), F.lit(True), F.lit(1), F.lit(2), F.lit(None).cast("string"))).first()[0]
     assert line == "[2025-01-01 10:00:00] a: THÀNH CÔNG | Tokens: In=1, Out=2"
 

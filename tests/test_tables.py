@@ -145,3 +145,22 @@ def test_history(spark):
     saved = incremental.save_checkpoint(ck, spark.createDataFrame([("s", 5)], "series_name string, chapter_count int"))
     assert {tuple(r) for r in saved.collect()} == {("s", 5), ("t", 1)}
     assert incremental.delete_checkpoint(saved, "s").count() == 1
+
+
+def test_book_pages(spark):
+    p = "<div class=\"booknav2\"><h1><a>Tên</a></h1><p><a href='/author/x'>A</a></p><p><a href=\"/class/1\">Huyền</a></p></div><div class='bookimg2'><img src=\"/c.jpg\"></div><script>tags: 'a|b |'</script><div class=\"navtxt\">x<br>y&amp;</div>"
+    r = spark.range(1).select(html.novel_info(F.lit(p), F.lit("https://h/b/1.html")).alias("r"), html.novel_info(F.lit(""), F.lit("u")).alias("e")).first()
+    assert (r.r.title, r.r.cover, r.r.author, list(r.r.tags), r.r.synopsis) == ("Tên", "https://h/c.jpg", "A", ["a", "b", "Huyền"], "x\ny&")
+    assert (r.e.title, r.e.cover, r.e.author, list(r.e.tags)) == ("", None, None, [])
+    c = "<div id=\"catalog\"><ul><li><a href='1.html'>第1章</a></li><li><a href='2.html'>第2章</a></li></ul></div>"
+    got = spark.range(1).select(html.novel_chapters(F.lit(c), F.lit("https://h/b/"), 1).alias("r")).first().r
+    assert [tuple(x) for x in got] == [(1, 1, "第1章", "https://h/b/1.html"), (2, 2, "第2章", "https://h/b/2.html")]
+    q = "<div class='newbox'><ul><li><a href='/b/1'>i</a><h3><a>the book</a></h3><div class='zxzj'><p>第9章</p></div></li></ul></div>"
+    assert [tuple(x) for x in spark.range(1).select(html.search_results(F.lit(q), F.lit("https://h/s")).alias("r")).first().r] == [("The Book", "https://h/b/1", "Latest: 第9章")]
+
+
+def test_titles_and_progress(spark):
+    s = seg(spark, [("Chapter_1_Segment_1", "A", ""), ("Chapter_1_Segment_2", "A", ""), ("Chapter_2_Segment_1", "bad", "")])
+    got = {r.chapter_key: (r.title, r.ok) for r in transform.transform_titles(s, transform.Stub(fail_on="bad"), ["book"]).collect()}
+    assert got == {"Chapter_1": ("[stub] A", True), "Chapter_2": ("bad", False)}
+    assert [r.done_percent for r in quality.progress(s, ["book"], ["ord"]).orderBy("ord").collect()] == [33.3333, 66.6667, 100.0]
