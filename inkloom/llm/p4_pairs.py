@@ -248,7 +248,7 @@ def defects(translations: DataFrame, segments: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, names, found = [], [], []
-            for r in b.to_pylist():
+            for r in (x for at in range(0, b.num_rows, 256) for x in b.slice(at, 256).to_pylist()):
                 for f in ("title", "content"):
                     d = defect(f, r[f], r[f"source_{f}"], r["target_lang"])
                     if d:
