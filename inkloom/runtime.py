@@ -57,6 +57,16 @@ def broadcast_if(df: DataFrame, most: int = 100_000) -> DataFrame:
     return broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def spread(df: DataFrame, read: DataFrame | None = None) -> DataFrame:
+    """``df`` over all cores, for work that costs more than moving its rows, if it is read in fewer parts than there are cores.
+
+    ``read`` is the scanned table that tells, where ``df`` comes out of a join.
+    Larger inputs have parts enough and stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if (read if read is not None else df).rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
