@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.p5_encoding import repair
-from inkloom.runtime import broadcast_if, materialize
+from inkloom.runtime import broadcast_if, materialize, spread
 
 # Chapter headings and openings of authors' remarks.
 HEADING = regex.compile(r"(?:第\s*[0-9０-９零〇一二两三四五六七八九十百千]+\s*[章回话節节卷]|(?:chapter|chap\.?|chương|volume|vol\.|quyển)\s*\d+)", regex.IGNORECASE)
@@ -233,7 +233,7 @@ def streams(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=_STREAM)
 
     return (
-        pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content").join(broadcast_if(names, HOSTS), "site", "left")
+        spread(pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content")).join(broadcast_if(names, HOSTS), "site", "left")
         .mapInArrow(run, "page_id long, site string, title string, lines array<string>, tokens array<string>, kinds array<int>, inner array<boolean>")
     )
 

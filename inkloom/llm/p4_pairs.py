@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.p2_truncated import features, judged
-from inkloom.runtime import materialize
+from inkloom.runtime import materialize, spread
 
 # Words that are frequent in a language and hardly occur in the others.
 STOPWORDS = {
@@ -257,7 +257,7 @@ def defects(translations: DataFrame, segments: DataFrame) -> DataFrame:
                         found.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(found, pa.string())], names=["tr_id", "field_name", "defect"])
 
-    first = materialize(rows.select("tr_id", "title", "content", "target_lang", "source_title", "source_content").mapInArrow(run, "tr_id long, field_name string, defect string"), "defects")
+    first = materialize(spread(rows.select("tr_id", "title", "content", "target_lang", "source_title", "source_content"), read=translations).mapInArrow(run, "tr_id long, field_name string, defect string"), "defects")
     text = F.regexp_replace(F.regexp_replace("content", r"(?is)<(think|thinking)>.*?</\1>", ""), r"\\n", "\n")
     feats = materialize(features(translations.where("content is not null").select("tr_id", text.alias("content"), F.col("provider")), "tr_id", "content", "provider"), "responses")
     cut = judged(feats).where("cut").select(F.col("row_id").alias("tr_id"), F.lit("content").alias("field_name"), F.lit("truncated").alias("defect"))

@@ -11,6 +11,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from inkloom.runtime import spread
+
 # Encodings that text is stored in, and those it is wrongly read with.
 STORED_UTF8, STORED_GB = "utf-8", "gb2312"
 READ_ONE_BYTE = ("cp1252", "latin-1", "iso8859-2", "cp1250", "iso8859-9", "cp1254", "iso8859-15", "cp1258", "mac-roman", "cp437", "cp850", "cp852", "koi8-r", "koi8-u", "cp866", "cp1251", "iso8859-5", "iso8859-7", "cp1253")
@@ -295,4 +297,4 @@ def repair_fields(df: DataFrame, key: str, fields: tuple[str, ...] = ("title", "
                         complete.append(not left)
             yield pa.RecordBatch.from_arrays([pa.array(keys, ids.type), pa.array(names, pa.string()), pa.array(texts, pa.string()), pa.array(complete, pa.bool_())], names=[key, "field_name", "original", "complete"])
 
-    return df.select(key, *fields).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, field_name string, original string, complete boolean")
+    return spread(df.select(key, *fields)).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, field_name string, original string, complete boolean")

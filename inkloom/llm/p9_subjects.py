@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkloom.runtime import spread
 from inkloom.llm.grams import HAN, LETTER, LINE, MARK, U64, classes, mix, tokens
 
 HASH_BITS = 18
@@ -256,7 +257,7 @@ def classify(documents: DataFrame, model: bytes) -> DataFrame:
                 ids, out = part.column(0).to_pylist(), predict(m, [t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, s in zip(ids, out) for _ in s], pa.int64()), pa.array([x for s in out for x in s], pa.string())], names=["doc_id", "subject"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, subject string")
+    return spread(documents.select("doc_id", "text")).mapInArrow(run, "doc_id long, subject string")
 
 
 def subjects_of(documents: DataFrame, labels: DataFrame, subjects: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from inkloom.runtime import spread
+
 DEFAULT_FOLDER = "/opt/tokenizers"
 DEFAULT_TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -51,4 +53,4 @@ def token_counts(df: DataFrame, text: str, keep: list[str], folder: str = DEFAUL
                 n += enc([t or "" for t in b.column(len(keep)).slice(at, 256).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(np.array(n, dtype=np.int64))], names=[*keep, "n_tokens"])
 
-    return df.select(*keep, text).mapInArrow(count, f"{fields}, n_tokens long")
+    return spread(df.select(*keep, text)).mapInArrow(count, f"{fields}, n_tokens long")
