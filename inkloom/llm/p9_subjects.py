@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.runtime import spread
-from inkloom.llm.grams import HAN, LETTER, LINE, MARK, U64, classes, mix, tokens
+from inkloom.llm.grams import LINE, MARK, U64, classes, mix, tokens
 
 HASH_BITS = 18
 NGRAMS = 3
@@ -21,12 +20,6 @@ SAMPLE = 3000  # labelled documents that the classifiers are fitted on, at most
 STOPS = "。！？!?…."
 
 
-@lru_cache(maxsize=1)
-def _fold() -> np.ndarray:
-    """Lower case of each code point of the basic plane."""
-    return np.array([ord(c.lower()) if len((c := chr(i)).lower()) == 1 else i for i in range(0x10000)], dtype=np.uint32)
-
-
 @dataclass
 class Features:
     """Hashed n-grams with the sentence each is in, and the text of each sentence."""
