@@ -11,7 +11,7 @@ from inkloom.functions import ids
 from inkloom.functions import text as T
 from inkloom.operators import buckets, classify, filters, html, incremental, pack, quality, reconcile, reshape, sections, transform
 from inkloom.plans.oracles import SQL
-from inkloom.runtime import table
+from inkloom.runtime import spread, table
 from inkloom.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,7 +94,7 @@ def output_names(spark, d):
 
 
 def doc_lines(spark, d) -> DataFrame:
-    return sections.lines(table(spark, d, "documents"), "doc_id", "text")
+    return sections.lines(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 @query
@@ -147,7 +147,7 @@ def file_titles(spark, d):
 
 def packed(spark, d, most: int = 2000) -> DataFrame:
     lines = F.filter(F.transform(T.split_lines(F.col("text")), T.strip_u), lambda x: x != "")
-    return pack.pack_lines(table(spark, d, "documents").select("doc_id", "lang", lines.alias("lines")), ["doc_id", "lang"], "lines", most)
+    return pack.pack_lines(spread(table(spark, d, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", lines.alias("lines")), ["doc_id", "lang"], "lines", most)
 
 
 @query
