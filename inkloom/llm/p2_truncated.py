@@ -185,11 +185,12 @@ def judged(feats: DataFrame, close: float = 0.3, stop: float = 0.04, han_stop: f
     A closing word that no text holds inside, half a word for the most part, is
     cut. A last line that is the last of ``formula`` of all open endings, or of
     those in an ellipsis (250 lines each at most, so they are sent to all tasks), is a formula, not a loss.
+    Texts are counted for that, not rows: copies of one text say nothing of how usual its last line is.
     """
     table = closing_table(feats)
     spark = feats.sparkSession
     rows = feats.where("chunk is null")
-    last = rows.where("last_line is not null").groupBy("how", "last_line").agg(F.count("*").alias("n"))
+    last = rows.where("last_line is not null").select("how", "last_line", "text_hash", "size").distinct().groupBy("how", "last_line").agg(F.count("*").alias("n"))
     least = last.groupBy("how").agg(F.greatest(F.lit(5), formula * F.sum("n")).alias("least"))
     formulas = {r.last_line for r in last.join(F.broadcast(least), "how").where("n >= least").select("last_line").collect()}
     shared = spark.sparkContext.broadcast((table, formulas))  # its size is fixed
