@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.grams import DIGIT, HAN, LETTER, LINE, MARK, U64, Tokens, bands, classes, mix, shingles, tokens
@@ -18,7 +18,9 @@ from inkloom.runtime import materialize, spread
 SLOTS, LENGTHS = 1 << 20, (1, 2)  # of the closing-word table, whatever the input
 CHUNK = 1 << 13
 SHINGLE, BANDS, ROWS = 5, 8, 3
-HOT, FEW = 10_000, 1_000_000  # texts in a band that is cut; pairs whose ids are broadcast
+HOT, FEW = 256, 1_000_000  # texts in a band that is joined by what follows too; pairs whose ids are broadcast
+FAN = 16  # texts of a hot band that a text is verified against at once
+ENDS = 4  # words before a text's last that a copy must hold
 
 # Signs put in place of a lost rest, and constructs that were left unfinished.
 PUT_IN = regex.compile(r"(?:\[\s*\+?\s*\d+\s*(?:chars?|characters|字|ký tự)\s*\]|\[\s*(?:\.{3}|…+|truncated|cut)\s*\]|[(（]\s*(?:read more|more|continue reading|阅读全文|查看全文|展开全文|xem thêm|đọc tiếp|đọc thêm)\s*[)）]|<(?:truncated|cut)>)\s*$", regex.IGNORECASE)
@@ -26,6 +28,7 @@ UNFINISHED = regex.compile(r"(?:&#?[0-9A-Za-z]{0,8}|\\u[0-9a-fA-F]{0,3}|\\x[0-9a
 CLOSERS = "”’」』】》〉）)]}\"'»"
 STOPS = "。！？!?.…"
 BLANK = " \t\n\r\x0b\x0c\x85\xa0　​‌‍﻿  "
+MAY_GO_ON = "length > size and 5 * size >= 4 * length"  # by their words
 COMPLETE, CUT, OPEN, ELLIPSIS = 0, 1, 2, 3  # OPEN: no stop, or a closing mark; ELLIPSIS: stops in one
 
 
@@ -98,8 +101,24 @@ def closing_ngrams(t: Tokens) -> dict[str, np.ndarray]:
     return {"doc": doc, "kind": kind, "inside": ~near, "line": line_end & ~near, "stop": stop, "slots": [(g % U64(SLOTS)).astype(np.int64) for g in grams]}
 
 
-_ROW = pa.schema([("row_id", pa.int64()), ("source", pa.string()), ("how", pa.int32()), ("size", pa.int32()), ("text_hash", pa.int64()), ("last_line", pa.int64()), ("tail", pa.list_(pa.int32())), ("bands", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())])
-_ROW_DDL = "row_id long, source string, how int, size int, text_hash long, last_line long, tail array<int>, bands array<long>, chunk int, counts binary"
+_ROW = pa.schema([("row_id", pa.int64()), ("source", pa.string()), ("how", pa.int32()), ("size", pa.int32()), ("text_hash", pa.int64()), ("last_line", pa.int64()), ("tail", pa.list_(pa.int32())), ("bands", pa.list_(pa.int64())), ("last_words", pa.int32()), ("going_on", pa.list_(pa.int32())), ("chunk", pa.int32()), ("counts", pa.binary())])
+_ROW_DDL = "row_id long, source string, how int, size int, text_hash long, last_line long, tail array<int>, bands array<long>, last_words int, going_on array<int>, chunk int, counts binary"
+
+
+def end_words(h: np.ndarray, doc: np.ndarray, docs: int) -> tuple[list[int | None], list[list[int]]]:
+    """For each text a hash of the ENDS words before its last one, and of all such runs in it that a text of 0.8 of its words could end in."""
+    n = np.bincount(doc, minlength=docs)
+    first = np.cumsum(n) - n
+    run = np.zeros(max(0, len(h) - ENDS + 1), dtype=U64)
+    for j in range(ENDS):
+        run = run * U64(0x100000001B3) + h[j : len(h) - ENDS + 1 + j]
+    run = (mix(run) >> U64(32)).astype(np.uint32).view(np.int32)
+    last, on = [], []
+    for at, k in zip(first.tolist(), n.tolist()):
+        last.append(int(run[at + k - 1 - ENDS]) if k > ENDS else None)
+        # a run that ends before word i, which is followed by another
+        on.append(np.unique(run[at + max(0, k * 18 // 25 - 1 - ENDS) : at + k - 1 - ENDS]).tolist() if k > ENDS + 1 else [])
+    return last, on
 
 
 def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
@@ -127,9 +146,10 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
                 size = np.bincount(t.doc[word], minlength=len(texts))
                 sums = np.zeros(len(texts), dtype=U64)
                 np.add.at(sums, t.doc[word], mix(t.hash[word] + np.arange(word.sum(), dtype=U64) - np.searchsorted(t.doc[word], t.doc[word]).astype(U64)))
+                last_words, on = end_words(t.hash[word], t.doc[word], len(texts))
                 m = len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(how, pa.int32()), pa.array(size.astype(np.int32)), pa.array(sums.astype(np.int64)), pa.array([last_line(x) if e in (OPEN, ELLIPSIS) else None for x, e in zip(texts, how)], pa.int64()), pa.array(tails, pa.list_(pa.int32())), pa.array(keys.tolist(), pa.list_(pa.int64())), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                    [b.column(0), b.column(1), pa.array(how, pa.int32()), pa.array(size.astype(np.int32)), pa.array(sums.astype(np.int64)), pa.array([last_line(x) if e in (OPEN, ELLIPSIS) else None for x, e in zip(texts, how)], pa.int64()), pa.array(tails, pa.list_(pa.int32())), pa.array(keys.tolist(), pa.list_(pa.int64())), pa.array(last_words, pa.int32()), pa.array(on, pa.list_(pa.int32())), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                     schema=_ROW,
                 )
         flat = table.reshape(-1)
@@ -138,7 +158,7 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
             if part.any():
                 at = np.flatnonzero(part)
                 packed = np.concatenate([at.astype("<i4"), part[at].astype("<i4")]).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, f.type) for f in list(_ROW)[:8]] + [pa.array([i // CHUNK], pa.int32()), pa.array([packed], pa.binary())], schema=_ROW)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, f.type) for f in list(_ROW)[:10]] + [pa.array([i // CHUNK], pa.int32()), pa.array([packed], pa.binary())], schema=_ROW)
 
     cols = [F.col(key).cast("long").alias("row_id"), F.col(source).alias("source"), F.col(text).alias("text")]
     return spread(df.where(F.col(text).isNotNull()).select(*cols)).mapInArrow(run, _ROW_DDL)
@@ -214,35 +234,51 @@ def judged(feats: DataFrame, close: float = 0.3, stop: float = 0.04, han_stop: f
 def copies_that_go_on(feats: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
     """row_id of texts with an open ending that a near copy continues.
 
-    Equal texts are one node. Each node with an open ending is paired, in each
-    band it shares, with the longest member of the band and the next longer
-    one; a pair is verified on the texts: the shorter must be (but for a
-    tenth of its words) the longer's beginning, at a similarity of 0.8 or more.
+    Equal texts are one node. Each node with an open ending is verified on the
+    texts against every longer member, up to 1.25 times its words, of each band
+    it shares that holds its last words and goes on after them: the shorter
+    must be (but for a tenth of its words) the longer's beginning. Members of
+    hot bands are joined by these words, in slots of FAN texts; a node tries
+    more slots until a copy continues it or none is left.
     """
-    nodes = feats.where(F.col("chunk").isNull() & (F.col("size") > 0)).groupBy("text_hash", "size").agg(F.min("row_id").alias("rep"), F.min("how").alias("how"), F.min_by("bands", "row_id").alias("bands"))
-    keyed = nodes.select("rep", "size", "how", F.explode("bands").alias("band"))
-    heads = keyed.groupBy("band").agg(F.max(F.struct("size", "rep")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    near = keyed.join(heads, "band")
-    # a usual band is sorted where the join has put it; a hot one is cut by the texts' sizes first
-    part = F.pmod(F.xxhash64("size"), F.lit(64))
-    usual = near.where(F.col("n") <= HOT).withColumn("next", F.lead("rep").over(Window.partitionBy("band").orderBy("size", "rep")))
-    hot = near.where(F.col("n") > HOT).withColumn("next", F.lead("rep").over(Window.partitionBy("band", part).orderBy("size", "rep")))
-    pairs = materialize(
-        usual.unionByName(hot).where(F.col("how").isin(OPEN, ELLIPSIS))
-        .select("rep", F.explode(F.array_distinct(F.array("head.rep", "next"))).alias("other"))
-        .where("other is not null and other <> rep").distinct(), "pairs",
-    )
-    ids = pairs.select(F.explode(F.array("rep", "other")).alias("rep")).distinct()
-    few = pairs.count() <= FEW  # the ids are then 16 MB at most; beyond that the texts are shuffled
-    texts = df.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("short")).join(F.broadcast(ids) if few else ids, "rep", "left_semi")
-    both = pairs.join(texts, "rep").join(texts.select(F.col("rep").alias("other"), F.col("short").alias("long")), "other")
+    nodes = feats.where(F.col("chunk").isNull() & (F.col("size") > 0)).groupBy("text_hash", "size").agg(F.min("row_id").alias("rep"), F.min("how").alias("how"), F.min_by("bands", "row_id").alias("bands"), F.min_by("last_words", "row_id").alias("last_words"))
+    keyed = nodes.select("rep", "size", "last_words", F.col("how").isin(OPEN, ELLIPSIS).alias("open"), F.explode(F.array_distinct("bands")).alias("band"))
+    shared = keyed.groupBy("band").agg(F.count("*").alias("n"), F.count_if("open").alias("n_open")).where("n > 1 and n_open > 0").drop("n_open")
+    near = materialize(keyed.join(shared, "band"), "near")
+    ends = near.where("open and last_words is not null").drop("open")
+    others = near.select("band", "n", F.col("rep").alias("other"), F.col("size").alias("length"))
+    rest = feats.where("chunk is null").select(F.col("row_id").alias("other"), "going_on")
+
+    def of_ids(table: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        few = ids.count() <= FEW  # the ids are then 8 MB at most; beyond that the rows are shuffled
+        return table.join(F.broadcast(ids) if few else ids, name, "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             d = b.to_pydict()
             yield pa.RecordBatch.from_arrays([pa.array([r for r, s, x in zip(d["rep"], d["short"], d["long"]) if ends_early(s, x)], pa.int64())], names=["rep"])
 
-    early = both.select("rep", "short", "long").mapInArrow(run, "rep long").distinct()
+    def continued(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs.distinct(), "pairs")
+        texts = of_ids(df.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("short")), pairs.select(F.explode(F.array("rep", "other")).alias("rep")).distinct(), "rep")
+        both = pairs.join(texts, "rep").join(texts.select(F.col("rep").alias("other"), F.col("short").alias("long")), "other")
+        return both.select("rep", "short", "long").mapInArrow(run, "rep long").distinct()
+
+    usual = materialize(ends.where(F.col("n") <= HOT).join(others.where(F.col("n") <= HOT).drop("n"), "band").where(MAY_GO_ON).select("rep", "last_words", "other").distinct(), "usual")
+    early = materialize(continued(usual.join(of_ids(rest, usual.select("other").distinct(), "other"), "other").where("array_contains(going_on, last_words)").select("rep", "other")), "early")
+
+    hot, many = ends.where(F.col("n") > HOT), others.where(F.col("n") > HOT).drop("n")
+    if not hot.isEmpty():
+        words = many.join(of_ids(rest, many.select("other").distinct(), "other"), "other").select("band", "other", "length", F.explode("going_on").alias("last_words"))
+        words = materialize(words.join(hot.select("band", "last_words").distinct(), ["band", "last_words"], "left_semi"), "words")
+        slots = words.groupBy("band", "last_words").agg(F.ceil(F.count("*") / FAN).cast("int").alias("slots"))
+        placed = materialize(words.join(slots, ["band", "last_words"]).withColumn("slot", F.pmod(F.xxhash64("other"), "slots").cast("int")).drop("slots"), "placed")
+        left, tried, width = materialize(hot.drop("n").join(slots, ["band", "last_words"]), "left"), 0, 1
+        while not (left := left.where(F.col("slots") > tried).join(early, "rep", "left_anti")).isEmpty():
+            at = left.withColumn("slot", F.explode(F.sequence(F.lit(tried), F.least(F.col("slots"), F.lit(tried + width)) - 1)))
+            pairs = at.join(placed, ["band", "last_words", "slot"]).where(MAY_GO_ON).select("rep", "other")
+            early = materialize(early.unionByName(continued(pairs)).distinct(), "early")
+            tried, width = tried + width, 4 * width
     members = feats.where("chunk is null").select("row_id", "text_hash", "size")
     return early.join(nodes.select("rep", "text_hash", "size"), "rep").join(members, ["text_hash", "size"]).select("row_id")
 

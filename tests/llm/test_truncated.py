@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from inkloom.llm import p2_truncated as p2
 
 RND = random.Random(4)
@@ -22,3 +25,23 @@ def test_copies_of_a_cut_text_are_no_formula(spark):
     rows += [(100 + i, cut, "s") for i in range(30)]
     df = spark.createDataFrame(rows, "row_id long, content string, source string")
     assert {r.row_id for r in p2.truncated(df).where("cut").collect()} == set(range(100, 130))
+
+
+def in_one_band(spark, texts):
+    df = spark.createDataFrame([(i, t, "s") for i, t in texts.items()], "row_id long, content string, source string")
+    feats = p2.features(df, "row_id", "content", "source").withColumn("bands", F.when(F.col("chunk").isNull(), F.array(F.lit(7).cast("long"))))
+    return p2.materialize(feats, "t"), df
+
+
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_every_longer_copy_of_a_band_is_tried(spark, monkeypatch, hot):
+    monkeypatch.setattr(p2, "HOT", hot)
+    monkeypatch.setattr(p2, "FAN", 2, raising=False)
+    words = [RND.choice(WORDS) for _ in range(400)]
+    text = lambda w: " ".join(w)
+    texts = {1: text(words[:360]) + "...", 2: text(words) + ".", 3: text(words + [RND.choice(WORDS) for _ in range(200)]) + "."}
+    texts |= {10 + k: text(words[:350] + [RND.choice(WORDS) for _ in range(11 + k)]) + "." for k in range(6)}  # go on otherwise
+    texts |= {20 + k: text(words[: 355] + ["turn"] * (k + 50)) + "." for k in range(6)}
+    texts |= {30: text(["other"] * 380)}
+    feats, df = in_one_band(spark, texts)
+    assert {r.row_id for r in p2.copies_that_go_on(feats, df, "row_id", "content").collect()} == {1}
