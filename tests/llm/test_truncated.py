@@ -45,3 +45,26 @@ def test_every_longer_copy_of_a_band_is_tried(spark, monkeypatch, hot):
     texts |= {30: text(["other"] * 380)}
     feats, df = in_one_band(spark, texts)
     assert {r.row_id for r in p2.copies_that_go_on(feats, df, "row_id", "content").collect()} == {1}
+
+
+def test_copies_are_aligned(spark):
+    words = [RND.choice(WORDS) for _ in range(400)]
+    early = words[:360]
+    cut = {
+        1: early[:40] + ["please", "visit", "our", "site"] + early[40:],
+        2: early[:40] + early[41:],
+        3: early[:3] + ["advert"] + early[3:200] + early[201:],
+        4: early[:100] + ["sponsored"] * 20 + early[100:] + words[360:395],  # longer than the whole, and still cut
+    }
+    whole = " ".join(words) + "."
+    for k, w in cut.items():
+        assert p2.ends_early(" ".join(w) + "...", whole), k
+    # ends where the other ends, though words are left out before
+    assert not p2.ends_early(" ".join(words[:40] + words[41:]), whole)
+    verse = "one lamp to guide us home tonight".split()
+    assert not p2.ends_early(" ".join(words[5:] + verse + verse), " ".join(words + verse + verse))
+    assert not p2.ends_early(" ".join(early[:100] + ["other"] * 80 + early[180:]), whole)
+    texts = {k: " ".join(w) + "..." for k, w in cut.items()} | {9: whole}
+    feats, df = in_one_band(spark, texts)
+    got = {r.row_id for r in p2.copies_that_go_on(feats, df, "row_id", "content").collect()}
+    assert got == {1, 2, 3, 4}
