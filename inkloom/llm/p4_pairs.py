@@ -212,7 +212,7 @@ def defect(field: str, text: str | None, source: str | None, target: str | None)
         return "refusal"
     source = clean(source)
     langs = [language(x) for x in lines]
-    votes = Counter(x for x in map(language, [y for y in source.splitlines() if y.strip()][:40]) if x)
+    votes = Counter(x for x in map(language, [y for y in source.splitlines() if y.strip()]) if x)
     from_lang = votes.most_common(1)[0][0] if votes else None
     if source and not (from_lang and from_lang == target):
         if field == "title":
