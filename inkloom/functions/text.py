@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,9 +89,16 @@ def paragraphs_html(c: Column) -> Column:
 
 
 def sentence_paragraphs(c: Column) -> Column:
-    """A paragraph break after each sentence end with its closing quotes, at most one blank line, an apostrophe in front."""
-    broken = F.regexp_replace(c, "([。！？][”’」』]*)", "$1\n\n")
-    return F.concat(F.lit("'"), strip_u(F.regexp_replace(broken, "\n{3,}", "\n\n")))
+    """A paragraph break between sentence ends or closing quotes and what follows them; lines stripped, one blank line at most between them.
+
+    An apostrophe stands before the first line unless that is blank. Null stays null.
+    """
+    for mark in ("[。！？]", '["」]'):
+        c = F.regexp_replace(c, f"({mark})([^{WS}])", "$1\n\n$2")
+    for mark in ("[。！？]", '["」]'):
+        c = F.regexp_replace(c, f"({mark})[{WS}]+([^{WS}])", "$1\n\n$2")
+    lines = F.transform(F.split(F.regexp_replace(c, "\n{3,}", "\n\n"), "\n"), lambda x, i: F.when((i == 0) & (strip_u(x) != ""), F.concat(F.lit("'"), strip_u(x))).otherwise(strip_u(x)))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"), r"^\n+", ""), r"\n+\z", "\n")
 
 
 def name_key(c: Column) -> Column:
@@ -141,14 +150,36 @@ def mask(c: Column) -> Column:
     return F.when(F.length(c) > 14, F.concat(F.substring(c, 1, 10), F.lit("..."), F.right(c, F.lit(4)))).otherwise(F.lit("***"))
 
 
+# Fixed value: the parts of an address.
+ADDRESS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?"
+
+
 def join_url(page: Column, base: Column) -> Column:
-    """An absolute page as it is, one from the root after the host, any other after the base's folder."""
-    host = F.regexp_extract(base, r"^([a-z]+://[^/]+)", 1)
+    """``page`` as an address seen from ``base``: other sites, roots, folders, dot segments, queries and fragments.
+
+    An empty page is the base; null in either gives null.
+    """
+    part = lambda c, i: F.regexp_extract(c, ADDRESS, i)
+
+    def resolved(path: Column) -> Column:
+        """Without dot segments and empty ones inside."""
+        segments = F.split(path, "/")
+        inner = F.filter(segments, lambda x, i: (x != "") | (i == 0) | (i == F.size(segments) - 1))
+        step = lambda acc, x: F.when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(acc)).when(x == ".", acc).otherwise(F.concat(acc, F.array(x)))
+        done = F.array_join(F.aggregate(inner, F.array().cast("array<string>"), step), "/")
+        return F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(done, F.lit("/"))).otherwise(done)
+
+    root = F.concat(part(base, 1), F.lit("://"), part(base, 2))
+    path = part(page, 3)
+    whole = F.when(path.startswith("/"), path).otherwise(F.concat(F.regexp_replace(part(base, 3), "[^/]*$", ""), path))
+    whole = F.when(whole.startswith("/"), whole).otherwise(F.concat(F.lit("/"), whole))
     return (
-        F.when(page.rlike("^[a-z]+://"), page)
-        .when(page.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-z]+:)", 1), page))
-        .when(page.startswith("/"), F.concat(host, page))
-        .otherwise(F.concat(F.regexp_replace(base, "/[^/]*$", "/"), page))
+        F.when(page.isNull() | base.isNull(), F.lit(None).cast("string"))
+        .when(page == "", base)
+        .when((part(page, 1) != "") & (part(page, 1) != part(base, 1)), page)
+        .when(part(page, 2) != "", F.concat(part(base, 1), F.lit("://"), part(page, 2), F.when(path == "", "").otherwise(resolved(path)), part(page, 4), part(page, 5)))
+        .when(path == "", F.concat(root, part(base, 3), F.when(part(page, 4) != "", part(page, 4)).otherwise(part(base, 4)), part(page, 5)))
+        .otherwise(F.concat(root, resolved(whole), part(page, 4), part(page, 5)))
     )
 
 
@@ -157,9 +188,12 @@ def thinks(model: Column) -> Column:
     return model.rlike("2[.-]5")
 
 
+DIGITS = [c for c in map(chr, range(128, 0x110000)) if unicodedata.category(c) == "Nd"]
+
+
 def arabic(c: Column) -> Column:
-    """Full-width digits as ASCII digits."""
-    return F.translate(c, "０１２３４５６７８９", "0123456789")
+    """Decimal digits of any script as ASCII digits."""
+    return F.translate(c, "".join(DIGITS), "".join(str(unicodedata.digit(d)) for d in DIGITS))
 
 
 def han_to_int(c: Column) -> Column:

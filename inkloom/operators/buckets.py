@@ -31,6 +31,12 @@ def by_range_from_first(df: DataFrame, keys: list[str], size: int) -> DataFrame:
     return out.withColumn("batch_name", F.concat(start, F.lit("_"), F.least(start + size - 1, F.col("_hi")), F.lit(".yaml"))).drop("_c", "_lo", "_hi")
 
 
+def write_batches(df: DataFrame, folder: str) -> DataFrame:
+    """Writes the rows in a folder for each batch_name and reads them back."""
+    df.write.partitionBy("batch_name").mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def batch_totals(df: DataFrame, ok: str = "ok") -> DataFrame:
     """batch_name, n_rows, n_ok, n_failed, and the running total of rows in batch order."""
     g = df.groupBy("batch_no", "batch_name").agg(F.count("*").alias("n_rows"), F.count_if(F.coalesce(ok, F.lit(False))).alias("n_ok")).withColumn("n_failed", F.col("n_rows") - F.col("n_ok"))

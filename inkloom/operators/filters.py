@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.functions import ids
+from inkloom.operators.ranks import positions
 
 
 def chapter_range(df: DataFrame, enabled: bool = True, volumes: tuple[int, int] = (1, 999), chapters: tuple[int, int] = (1, 999)) -> DataFrame:
@@ -46,7 +47,7 @@ def checked_range(df: DataFrame, first: int, last: int) -> DataFrame:
 
 def catalog_slice(df: DataFrame, keys: list[str], order: list[str], start: int = 1, end: int | None = None) -> DataFrame:
     """The catalog entries at positions ``start`` to ``end`` (a position, not a count)."""
-    n = df.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    n = positions(df, keys, order)
     return n.where((F.col("position") >= start) & (F.lit(True) if end is None else F.col("position") <= end))
 
 

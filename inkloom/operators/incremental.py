@@ -44,5 +44,26 @@ def save_checkpoint(checkpoints: DataFrame, new: DataFrame) -> DataFrame:
     return new.unionByName(checkpoints.join(new.select("series_name"), "series_name", "left_anti"))
 
 
+def load_checkpoint(checkpoints: DataFrame, series: str) -> DataFrame:
+    """The checkpoint of a series: one row or none."""
+    return checkpoints.where(F.col("series_name") == series)
+
+
+def has_checkpoint(checkpoints: DataFrame, series: DataFrame) -> DataFrame:
+    """series_name, found for each row of ``series``."""
+    have = checkpoints.select("series_name").distinct().withColumn("found", F.lit(True))
+    return series.join(have, "series_name", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+def resumed(done: DataFrame, new: DataFrame, start: int) -> DataFrame:
+    """What is there after a run: the new rows after those already done if it began above 1, else the new rows alone."""
+    return done.unionByName(new) if start > 1 else new
+
+
+def write_resumed(new: DataFrame, path: str, start: int) -> None:
+    """Writes a run's rows: appended if it began above 1, else in place of what is there."""
+    new.write.mode("append" if start > 1 else "overwrite").parquet(path)
+
+
 def delete_checkpoint(checkpoints: DataFrame, series: str) -> DataFrame:
     return checkpoints.where(F.col("series_name") != series)

@@ -1,94 +1,153 @@
-"""Greedy packing of lines into segments of bounded size."""
+"""Greedy packing of lines into segments of bounded size, inside the row that holds the lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkloom.functions.arrays import bind
 from inkloom.functions.text import nonspace_len
 
 
-def segment_index(lines: Column, most: int) -> Column:
-    """For each line, the segment it goes to, from 0.
+def starts(sizes: list[int], most: int) -> list[int]:
+    """The indices (from 0) of the lines that open a segment, from the lines' sizes.
 
-    A segment closes when the next line would exceed ``most`` characters that
-    aren't white space; a line that alone exceeds it stays whole. The fold
-    carries the sizes as an array, one entry for each line.
+    A segment closes when the next line would exceed ``most``; a line that
+    alone exceeds it stays whole.
     """
-    sizes = F.transform(lines, nonspace_len)
-    start = F.struct(F.lit(0).alias("cur"), F.lit(-1).alias("k"), F.array().cast("array<int>").alias("out"))
+    total = np.fromiter(accumulate(sizes), dtype=np.int64, count=len(sizes))
+    out, at, before = [], 0, 0
+    while at < len(total):
+        out.append(at)
+        at = max(at + 1, int(np.searchsorted(total, before + most, side="right")))
+        before = int(total[at - 1])
+    return out
+
 
-    def step(acc: Column, n: Column) -> Column:
-        opens = (acc["k"] < 0) | ((acc["cur"] + n > most) & (acc["cur"] > 0))
-        k = acc["k"] + opens.cast("int")
-        return F.struct(F.when(opens, n).otherwise(acc["cur"] + n).alias("cur"), k.alias("k"), F.concat(acc["out"], F.array(k)).alias("out"))
+def _packer(most: int):
+    @F.arrow_udf("array<array<int>>")
+    def packed(sizes: pa.Array) -> pa.Array:
+        return pa.array([None if row is None else [starts(x or [], most) for x in row] for row in sizes.to_pylist()], pa.list_(pa.list_(pa.int32())))
 
-    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
+    return packed.asNondeterministic()  # it is deterministic, but must not be moved into a lambda
 
 
-def pack_lines(df: DataFrame, keys: list[str], lines: str, most: int) -> DataFrame:
-    """keys, segment (from 0), content (lines joined by a blank line), n_chars. Empty or null lines give no row.
+def segment_starts(texts: Column, most: int) -> Column:
+    """For each array of lines in ``texts`` the indices (from 0) of those that open a segment of ``most`` characters that aren't white space.
 
-    A text is one row, so packing needs no shuffle; ``transform`` and
-    ``filter`` rebuild the segments from the index of each line.
+    Only the lines' sizes go through Arrow: greedy packing is a fold, whose
+    state Spark's own folds copy at each step. The time is linear in the lines.
     """
-    numbered = df.select(*keys, F.col(lines).alias("_lines")).where(F.size("_lines") > 0).withColumn("_at", segment_index(F.col("_lines"), most))
-    per = numbered.select(*keys, F.explode(F.sequence(F.lit(0), F.array_max("_at"))).alias("segment"), "_lines", "_at")
-    own = F.filter(F.arrays_zip("_lines", "_at"), lambda x: x["_at"] == F.col("segment"))
-    return per.select(*keys, "segment", F.array_join(F.transform(own, lambda x: x["_lines"]), "\n\n").alias("content")).withColumn("n_chars", nonspace_len(F.col("content")))
+    return _packer(most)(F.transform(texts, lambda ls: F.transform(ls, nonspace_len)))
+
+
+def contents(lines: Column, at: Column) -> Column:
+    """The segments of an array of lines that open at the indices ``at``, each joined by blank lines."""
+    return F.transform(at, lambda a, k: F.array_join(F.slice(lines, a + 1, F.coalesce(F.get(at, k + 1), F.size(lines)) - a), "\n\n"))
+
+
+def pack_lines(df: DataFrame, keys: list[str], lines: str | Column, most: int) -> DataFrame:
+    """keys, segment (from 0), content (lines joined by a blank line), n_chars. Empty or null lines give no row."""
+    rows = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.col(lines) if isinstance(lines, str) else lines).alias("_lines"))
+    rows = rows.withColumn("_at", segment_starts(F.array("_lines"), most))
+    found = F.posexplode(contents(F.col("_lines"), F.get("_at", F.lit(0)))).alias("segment", "content")
+    return rows.select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], found).withColumn("n_chars", nonspace_len(F.col("content")))
+
+
+def _rest(a: Column, k: int = 1) -> Column:
+    return F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
+
+
+def _body(lines: Column, title: Column) -> Column:
+    """The lines below the heading, the first left out if it repeats the title."""
+    return F.when(F.get(lines, F.lit(1)) == title, _rest(lines, 2)).otherwise(_rest(lines))
+
+
+def _numbered(structured: DataFrame, key: str, found: Column, prefix: Column) -> DataFrame:
+    """key, ord, id, title, content of an array of segments; ids count over the whole text."""
+    one = structured.select(key, F.posexplode(found).alias("_i", "_s"))
+    return one.select(key, (F.col("_i") + 1).alias("ord"), F.concat(prefix, F.col("_i") + 1).alias("id"), F.col("_s.title").alias("title"), F.col("_s.content").alias("content"))
+
+
+def _titled(title: Column, content: Column) -> Column:
+    return F.concat(F.lit("'"), title, F.lit("\n\n"), content)
+
+
+def _packed(structured: DataFrame, key: str, sections: Column, body, most: int) -> DataFrame:
+    """key, _s (the sections), _b (the lines of each), _at (where its segments open)."""
+    rows = structured.select(F.col(key).alias("_key"), sections.alias("_s")).select("*", F.transform("_s", lambda s: body(s["lines"])).alias("_b"))
+    return rows.withColumn("_at", segment_starts(F.col("_b"), most)).withColumnRenamed("_key", key)
 
 
-def segments_of_sections(sections: DataFrame, key: str, most: int) -> DataFrame:
-    """key, ord, id, title, content of all segments of a text, volumes in order (none last), chapters in order.
+def _segments(structured: DataFrame, key: str, sections: Column, body, prefix, content, most: int) -> DataFrame:
+    rows = _packed(structured, key, sections, body, most)
+    title = lambda s: F.get(s["lines"], F.lit(0))
+    one = lambda s, k: F.transform(contents(F.get("_b", k), F.get("_at", k)), lambda c: F.struct(prefix(s).alias("prefix"), title(s).alias("title"), content(title(s), c).alias("content")))
+    return _numbered(rows, key, F.flatten(F.transform("_s", one)), F.col("_s.prefix"))
 
-    The first line of a section is its title; the first other line equal to it
-    is dropped. Ids count over the whole text.
+
+def segments_of_sections(structured: DataFrame, key: str, most: int) -> DataFrame:
+    """key, ord, id, title, content of all segments of sections.structure, volumes in order (none last), chapters in order.
+
+    The first line of a section is its title; a line right below that repeats
+    it is dropped. Ids count over the whole text.
     """
-    s = sections.withColumn("title", F.element_at("lines", 1)).withColumn("body", F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))))
-    s = s.withColumn("body", F.when(F.try_element_at("body", F.lit(1)) == F.col("title"), F.slice("body", 2, F.greatest(F.size("body") - 1, F.lit(0)))).otherwise(F.col("body")))
-    packed = pack_lines(s, [key, "section", "volume", "chapter", "title"], "body", most)
-    by = Window.partitionBy(key).orderBy(F.col("volume").asc_nulls_last(), "chapter", "section", "segment")
-    n = F.row_number().over(by)
-    prefix = F.when(F.col("volume").isNotNull(), F.concat(F.lit("Volume_"), F.col("volume"), F.lit("_"))).otherwise("")
-    return packed.withColumn("ord", n).select(
-        key, "ord", F.concat(prefix, F.lit("Chapter_"), F.col("chapter"), F.lit("_Segment_"), F.col("ord")).alias("id"), "title", F.concat(F.lit("'"), F.col("title"), F.lit("\n\n"), F.col("content")).alias("content")
-    )
-
-
-def plain_segments(sections: DataFrame, key: str, most: int) -> DataFrame:
-    """As segments_of_sections for text output: sections in their own order, ids without a volume, repeated titles kept."""
-    s = sections.withColumn("title", F.element_at("lines", 1)).withColumn("body", F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))))
-    packed = pack_lines(s, [key, "section", "chapter", "title"], "body", most)
-    n = F.row_number().over(Window.partitionBy(key).orderBy("section", "segment"))
-    return packed.withColumn("ord", n).select(key, "ord", F.concat(F.lit("Chapter_"), F.col("chapter"), F.lit("_Segment_"), F.col("ord")).alias("id"), "title", "content")
-
-
-def render(sections: DataFrame, key: str, fmt: str = "yaml", mode: int = 1, most: int = 5000) -> DataFrame:
+    placed = F.array_sort(F.transform("sections", lambda s: F.struct(s["volume"].isNull().alias("none"), s["volume"].alias("volume"), s["chapter"].alias("chapter"), s["section"].alias("section"), s["lines"].alias("lines"))))
+    prefix = lambda s: F.concat(F.when(s["volume"].isNotNull(), F.concat(F.lit("Volume_"), s["volume"], F.lit("_"))).otherwise(""), F.lit("Chapter_"), s["chapter"], F.lit("_Segment_"))
+    return _segments(structured, key, placed, lambda ls: _body(ls, F.get(ls, F.lit(0))), prefix, _titled, most)
+
+
+def _plain_prefix(s: Column) -> Column:
+    return F.concat(F.lit("Chapter_"), s["chapter"], F.lit("_Segment_"))
+
+
+def plain_segments(structured: DataFrame, key: str, most: int) -> DataFrame:
+    """As segments_of_sections for text output: sections in their own order, ids without a volume, repeated titles kept, contents without one."""
+    return _segments(structured, key, F.col("sections"), _rest, _plain_prefix, lambda _, c: c, most)
+
+
+def simple_segments(structured: DataFrame, key: str) -> DataFrame:
+    """One segment for each section that holds text besides its title: key, ord, id ``Segment_n``, title, content after the title."""
+    made = F.transform("sections", lambda s: F.struct(s["title"].alias("title"), F.array_join(_body(s["lines"], s["title"]), "\n\n").alias("body")))
+    found = F.transform(F.filter(made, lambda s: s["body"] != ""), lambda s: F.struct(s["title"].alias("title"), _titled(s["title"], s["body"]).alias("content")))
+    return _numbered(structured, key, found, F.lit("Segment_"))
+
+
+def simple_text_segments(structured: DataFrame, key: str) -> DataFrame:
+    """As simple_segments for text output: the lines below the first as they are, without the title."""
+    return _numbered(structured, key, F.transform("sections", lambda s: F.struct(s["title"].alias("title"), F.array_join(_rest(s["lines"]), "\n\n").alias("content"))), F.lit("Segment_"))
+
+
+def render(structured: DataFrame, key: str, fmt: str = "yaml", mode: int = 1, most: int = 5000) -> DataFrame:
     """The segments of a format (yaml or txt) and a mode: 2 gives one segment for each section, any other packs."""
     if fmt not in ("yaml", "txt"):
         raise ValueError(f"no format {fmt}")
     if mode == 2:
-        return simple_segments(sections, key)
-    return segments_of_sections(sections, key, most) if fmt == "yaml" else plain_segments(sections, key, most)
+        return simple_segments(structured, key) if fmt == "yaml" else simple_text_segments(structured, key)
+    return segments_of_sections(structured, key, most) if fmt == "yaml" else plain_segments(structured, key, most)
 
 
-def simple_segments(sections: DataFrame, key: str) -> DataFrame:
-    """One segment for each section that holds text besides its title: key, ord, id ``Segment_n``, title, content."""
-    body = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
-    body = F.when(F.try_element_at(body, F.lit(1)) == F.col("title"), F.slice(body, 2, F.greatest(F.size(body) - 1, F.lit(0)))).otherwise(body)
-    s = sections.withColumn("body", F.array_join(body, "\n\n")).where("body <> ''")
-    n = F.row_number().over(Window.partitionBy(key).orderBy("section"))
-    return s.withColumn("ord", n).select(key, "ord", F.concat(F.lit("Segment_"), F.col("ord")).alias("id"), "title", F.concat(F.lit("'"), F.col("title"), F.lit("\n\n"), F.col("body")).alias("content"))
+def segments_of_chapters(chapters: DataFrame, keys: list[str], lines: str, most: int) -> DataFrame:
+    """keys (with chapter and title), segment (from 1 in each chapter), id, content: the lines packed, each segment below ``'title``."""
+    packed = pack_lines(chapters, keys, lines, most)
+    return packed.select(*keys, (F.col("segment") + 1).alias("segment"), F.concat(F.lit("Chapter_"), F.col("chapter"), F.lit("_Segment_"), F.col("segment") + 1).alias("id"), _titled(F.coalesce("title", F.lit("")), F.col("content")).alias("content"))
 
 
-def segments_of_chapters(chapters: DataFrame, keys: list[str], lines: str, most: int) -> DataFrame:
-    """keys, segment (from 1 in each chapter), id, content; ``'title`` is packed as the first line."""
-    lead = chapters.withColumn("_l", F.concat(F.array(F.concat(F.lit("'"), F.col("title"))), F.col(lines)))
-    packed = pack_lines(lead, keys, "_l", most)
-    return packed.select(*keys, (F.col("segment") + 1).alias("segment"), F.concat(F.lit("Chapter_"), F.col("chapter"), F.lit("_Segment_"), F.col("segment") + 1).alias("id"), "content")
+def text_layout(structured: DataFrame, key: str, mode: int = 1, most: int = 2000) -> DataFrame:
+    """key, text: the text segments of sections.structure as a file holds them.
+
+    Each segment is its id, its title, its lines with a blank line after each,
+    and one more line break. The file is built inside the text's row.
+    """
+    rows = _packed(structured, key, F.col("sections"), _rest, most if mode != 2 else 2**62)
 
+    def of(s: Column, k: Column) -> Column:
+        title, head = (s["title"], F.lit("Segment_")) if mode == 2 else (F.get(s["lines"], F.lit(0)), _plain_prefix(s))
+        return F.transform(contents(F.get("_b", k), F.get("_at", k)), lambda c: F.struct(head.alias("head"), F.concat(F.lit("\n"), title, F.lit("\n"), c, F.lit("\n\n\n")).alias("rest")))
 
-def text_layout(segments: DataFrame, key: str) -> DataFrame:
-    """One text for each key: id, title and content of its segments in order, a blank line after each."""
-    block = F.concat_ws("\n", "id", "title", F.concat(F.col("content"), F.lit("\n")))
-    return segments.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", block.alias("b")))), lambda x: x["b"]), "\n").alias("text"))
+    blocks = F.transform(F.flatten(F.transform("_s", of)), lambda b, i: F.concat(b["head"], i + 1, b["rest"]))
+    return rows.select(key, F.array_join(blocks, "").alias("text")).where("text <> ''")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkloom.operators.ranks import positions
+from inkloom.runtime import broadcast_if
+
 
 def parse_log(log: DataFrame) -> DataFrame:
     """log_id, log_file, ts, id, status (ok, failed or null), in_tokens, out_tokens, error of each line."""
@@ -47,13 +50,18 @@ def folder_tree(plan: DataFrame) -> DataFrame:
     return plan.groupBy("content_type", folder.alias("folder")).agg(F.countDistinct("rel_path").alias("files"), F.count("*").alias("operations"), F.count_if("needed").alias("new_operations"))
 
 
-def outcome(df: DataFrame, keys: list[str], name: str, ok: str) -> DataFrame:
-    """keys, successes, failures and the names of the failures in order."""
-    return df.groupBy(*keys).agg(F.count_if(ok).alias("n_ok"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("n_failed"), F.array_sort(F.collect_list(F.when(~F.coalesce(ok, F.lit(False)), F.col(name)))).alias("failed_names"))
+def outcome(df: DataFrame, keys: list[str], ok: str) -> DataFrame:
+    """keys, successes and failures; null counts as failed."""
+    good = F.coalesce(ok, F.lit(False))
+    return df.groupBy(*keys).agg(F.count_if(good).alias("n_ok"), F.count_if(~good).alias("n_failed"))
+
+
+def failures(df: DataFrame, keys: list[str], name: str, ok: str) -> DataFrame:
+    """keys, name of each failure: rows, as a key may have any number of them."""
+    return df.where(~F.coalesce(ok, F.lit(False))).select(*keys, name)
 
 
 def progress(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """With done_percent: how much of its key's work is done with each row, in order."""
     total = df.groupBy(*keys).agg(F.count("*").alias("_total"))
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_n", n).join(total, keys).withColumn("done_percent", F.round(100.0 * F.col("_n") / F.col("_total"), 4)).drop("_n", "_total")
+    return positions(df, keys, order, "_n").join(broadcast_if(total), keys).withColumn("done_percent", F.round(100.0 * F.col("_n") / F.col("_total"), 4)).drop("_n", "_total")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.functions import ids
 from inkloom.functions.text import WS, strip_u
+from inkloom.operators.ranks import positions, previous
+from inkloom.runtime import broadcast_if, materialize
 
 
 def joined(value: str, order: list[str], sep: str) -> Column:
@@ -41,37 +45,53 @@ def chapter_index(nested: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def book_chapters(segments: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, chapter_key, title, content, position: chapters with text in the order of a book, those without a volume first."""
+    """keys, chapter_key, title, content, position: chapters with text in the order of a book, those without a volume first.
+
+    Positions are counted over the chapters' keys alone; contents move once, to their chapter.
+    """
     s = segments.withColumn("chapter_key", ids.chapter_key(F.col("id"))).where("chapter_key is not null")
     s = s.withColumn("content", F.when(strip_u(F.col("content")) != "", F.col("content")))
     g = s.groupBy(*keys, "chapter_key").agg(F.min_by("title", F.struct("ord", "row_id")).alias("title"), joined("content", ["ord", "row_id"], "\n\n").alias("content")).where(strip_u(F.col("content")) != "")
     k = ids.digits_key(F.col("chapter_key"))
-    return g.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(k["major"], k["minor"], "chapter_key")))
+    have = positions(s.where("content is not null").select(*keys, "chapter_key").distinct(), keys, [k["major"], k["minor"], "chapter_key"])
+    return g.join(have, [*keys, "chapter_key"])
 
 
 def text_chapters(segments: DataFrame, keys: list[str]) -> DataFrame:
     """keys, volume, chapter, header, text, position: chapters as text files, those without a volume last.
 
     Segments in order of their number (none counts as 0), then input order;
-    each content ends in a blank line.
+    each content ends in a blank line. Positions are counted over the chapters'
+    keys alone; contents move once, to their chapter.
     """
     p = ids.parts_of(F.col("id"))
     s = segments.select("*", p["volume"].alias("volume"), p["chapter"].alias("chapter"), F.coalesce(p["segment"], F.lit(0)).alias("_g")).where("chapter is not null")
-    g = s.groupBy(*keys, "volume", "chapter").agg(F.min_by("title", F.struct("ord", "row_id")).alias("title"), joined("content", ["_g", "ord", "row_id"], "\n\n").alias("text"))
-    head = F.concat(F.when(F.col("volume").isNotNull(), F.concat(F.lit("Quyển "), F.col("volume"), F.lit(" - "))).otherwise(""), F.lit("Chương "), F.col("chapter"), F.lit(": "), F.coalesce("title", F.lit("")))
-    w = Window.partitionBy(*keys).orderBy(F.col("volume").asc_nulls_last(), "chapter")
-    return g.select(*keys, "volume", "chapter", head.alias("header"), "text", F.row_number().over(w).alias("position"))
+    s = s.withColumn("_v", F.coalesce("volume", F.lit(-1)))  # volumes aren't negative
+    g = s.groupBy(*keys, "_v", "chapter").agg(F.min_by("title", F.struct("ord", "row_id")).alias("title"), joined("content", ["_g", "ord", "row_id"], "\n\n").alias("text"))
+    at = positions(s.select(*keys, "_v", "chapter").distinct(), keys, [F.nullif("_v", F.lit(-1)).asc_nulls_last(), "chapter"])
+    volume = F.nullif("_v", F.lit(-1))
+    head = F.concat(F.when(volume.isNotNull(), F.concat(F.lit("Quyển "), volume, F.lit(" - "))).otherwise(""), F.lit("Chương "), F.col("chapter"), F.lit(": "), F.coalesce("title", F.lit("")))
+    return g.join(at, [*keys, "_v", "chapter"]).select(*keys, volume.alias("volume"), "chapter", head.alias("header"), "text", "position")
 
 
 def upload_plan(segments: DataFrame, keys: list[str], prefix: str, first: int = 0) -> DataFrame:
     """keys, chapter_key, chapter, title, content: the chapters of one volume (``Volume_n``), the first ``first`` if above 0."""
-    s = segments.withColumn("chapter_key", F.nullif(F.regexp_extract("id", f"({prefix}_Chapter_\\d+)_", 1), F.lit(""))).where("chapter_key is not null")
+    s = segments.withColumn("chapter_key", F.nullif(F.regexp_extract("id", f"({re.escape(prefix)}_Chapter_\\d+)_", 1), F.lit(""))).where("chapter_key is not null")
     s = s.withColumn("chapter", F.regexp_extract("chapter_key", r"Chapter_(\d+)", 1).try_cast("int")).withColumn("_g", ids.segment_of(F.col("id")))
     if first > 0:
-        s = s.withColumn("_r", F.dense_rank().over(Window.partitionBy(*keys).orderBy("chapter"))).where(F.col("_r") <= first)
+        some = positions(s.select(*keys, "chapter").distinct(), keys, ["chapter"], "_r").where(F.col("_r") <= first).drop("_r")
+        s = s.join(broadcast_if(some), [*keys, "chapter"], "left_semi")
     return s.groupBy(*keys, "chapter_key", "chapter").agg(F.min_by("title", F.struct("_g", "ord", "row_id")).alias("title"), joined("content", ["_g", "ord", "row_id"], "\n\n").alias("content"))
 
 
+def together(*lists: DataFrame) -> DataFrame:
+    """The rows of all lists, columns by their names."""
+    out = lists[0]
+    for other in lists[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 def upload_files(segments: DataFrame, keys: list[str]) -> DataFrame:
     """As upload_plan, for every chapter by its key anywhere in the id, volumes aside."""
     s = segments.withColumn("chapter_key", ids.upload_key(F.col("id"))).where("chapter_key is not null").withColumn("_g", ids.segment_of(F.col("id")))
@@ -119,8 +139,13 @@ def retitled(segments: DataFrame, remove: bool = False) -> DataFrame:
 
 def numbered_catalog(df: DataFrame, key: str, order: str, per_volume: int = 100) -> DataFrame:
     """The rows of a catalog with id (from 1 in each key) and volume (``per_volume`` chapters each)."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return df.withColumn("id", n).withColumn("volume", (F.floor((F.col("id") - 1) / per_volume) + 1).cast("int"))
+    return positions(df, [key], [order], "id").withColumn("volume", (F.floor((F.col("id") - 1) / per_volume) + 1).cast("int"))
+
+
+def volume_totals(numbered: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n_volumes (distinct), n_chapters, first and last volume of a numbered catalog."""
+    per = numbered.groupBy(*keys, "volume").agg(F.count("*").alias("n"))
+    return per.groupBy(*keys).agg(F.count("*").alias("n_volumes"), F.sum("n").alias("n_chapters"), F.min("volume").alias("first_volume"), F.max("volume").alias("last_volume"))
 
 
 def merge_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
@@ -143,28 +168,34 @@ def merge_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
 
 def volume_changes(pages: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The rows at which a volume that isn't blank differs from the last one that wasn't."""
-    filled = F.when(strip_u(F.coalesce("volume", F.lit(""))) != "", F.col("volume"))
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return pages.withColumn("_v", filled).withColumn("_last", F.last("_v", ignorenulls=True).over(w)).where(F.col("_v").isNotNull() & ~F.col("_v").eqNullSafe(F.col("_last"))).drop("_v", "_last")
-
-
-def chain(pages: DataFrame, start: str, most: int = 1000, key: str = "url", link: str = "next_url") -> DataFrame:
-    """step, key of the pages reached from ``start`` by following links, until none, a repeated one, or ``most``."""
-    spark = pages.sparkSession
-    one = pages.where(f"{key} is not null").groupBy(key).agg(F.max_by(link, F.struct(F.coalesce("success", F.lit(False)), F.col("page_id"))).alias("_next"), F.max(F.coalesce("success", F.lit(False))).alias("_ok"))
-    name = "_chain_" + str(abs(hash((start, most))))
-    one.createOrReplaceTempView(name)
-    return spark.sql(
-        f"""
-        WITH RECURSIVE walk(step, {key}, seen, nxt) MAX RECURSION LEVEL {most + 1} AS (
-            SELECT 1, {key}, array({key}), _next FROM {name} WHERE {key} = :start AND _ok
-            UNION ALL
-            SELECT w.step + 1, p.{key}, array_append(w.seen, p.{key}), p._next
-            FROM walk w JOIN {name} p ON p.{key} = w.nxt
-            WHERE p._ok AND w.step < {most} AND NOT array_contains(w.seen, p.{key})
-        ) SELECT step, {key} FROM walk""",
-        args={"start": start},
-    )
+    filled = pages.where(strip_u(F.coalesce("volume", F.lit(""))) != "")
+    return previous(filled, [key], order, "volume", "_last").where(~F.col("volume").eqNullSafe(F.col("_last"))).drop("_last")
+
+
+def chain(pages: DataFrame, start: str, most: int | None = None, key: str = "url", link: str = "next_url") -> DataFrame:
+    """step, key of the pages reached from ``start`` by following links, until none, a failed page, a repeated one, or ``most``.
+
+    Links are composed with themselves: after k joins each page knows the page
+    2^k links on, and all pages up to 2^k steps are numbered, so a chain of n
+    pages takes log2(n) joins of the links (addresses alone), however long it is.
+    """
+    one = pages.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(link, F.struct(F.coalesce("success", F.lit(False)), F.col("page_id"))).alias("to"), F.max(F.coalesce("success", F.lit(False))).alias("ok")).where("ok")
+    good = materialize(one.select(F.col(key).alias("at"), "to"), "links")
+    # a link to a page that isn't there, or failed, ends the chain
+    hop = materialize(good.join(good.select(F.col("at").alias("to")), "to", "left_semi").select("at", "to"), "hops")
+    found = materialize(good.where(F.col("at") == start).select(F.lit(1).cast("long").alias("step"), "at"), "walk")
+    reach, known = 1, found.count()
+    while known and (most is None or reach < most):
+        ahead = found.join(hop, "at").select((F.col("step") + reach).alias("step"), F.col("to").alias("at"))
+        # on a circle a page comes again: its first step counts
+        both = materialize(found.unionByName(ahead).groupBy("at").agg(F.min("step").alias("step")).select("step", "at"), "walk")
+        now = both.count()
+        if now == known:
+            break
+        found, known, reach = both, now, 2 * reach
+        hop = materialize(hop.join(hop.select(F.col("at").alias("to"), F.col("to").alias("_to")), "to").select("at", F.col("_to").alias("to")), "hops")
+    out = found if most is None else found.where(F.col("step") <= most)
+    return out.select(F.col("step").cast("int").alias("step"), F.col("at").alias(key))
 
 
 def split_languages(paragraphs: DataFrame, keys: list[str], items: str) -> DataFrame:

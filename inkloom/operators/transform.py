@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkloom.operators.ranks import positions
+
 
 class SegmentTransform(Protocol):
     """Answers a prompt. A blank answer or an exception is a failure."""
@@ -22,10 +25,8 @@ class SegmentTransform(Protocol):
 class Stub:
     """A stand-in that needs no network: the text between marks, its tokens counted as characters."""
 
-    name = "stub"
-
-    def __init__(self, fail_on: str | None = None):
-        self.fail_on = fail_on
+    def __init__(self, fail_on: str | None = None, name: str = "stub"):
+        self.fail_on, self.name = fail_on, name
 
     def generate(self, system: str, user: str) -> tuple[str, dict[str, int]]:
         if self.fail_on and self.fail_on in user:
@@ -34,14 +35,22 @@ class Stub:
         return out, {"input": len(user), "output": len(out), "thinking": 0}
 
 
-PROVIDERS = {"oai": Stub, "gmn": Stub, "vtx": Stub}
+# The codes of providers and their names.
+PROVIDERS = {"oai": "openai", "gmn": "gemini", "vtx": "vertex"}
+CLIENTS: dict[str, Callable[[], SegmentTransform]] = {code: partial(Stub, name=name) for code, name in PROVIDERS.items()}
 
 
 def provider(code: str) -> SegmentTransform:
-    """A new client of a provider's code; unknown codes fail."""
-    if code not in PROVIDERS:
+    """A new client of a provider's code in any case; unknown codes fail. Put a client's class into CLIENTS to use it."""
+    make = CLIENTS.get(code.strip().lower())
+    if make is None:
         raise ValueError(f"no provider {code}")
-    return PROVIDERS[code]()
+    return make()
+
+
+def provider_of(code: Column) -> Column:
+    """The provider's name of a code in any case; null for unknown codes."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in PROVIDERS.items() for x in kv]), F.lower(F.trim(code)))
 
 
 def transform(df: DataFrame, client: SegmentTransform, system: str = "", text: str = "content", retries: int = 0, wait: float = 0.0, keep_failed: bool = True) -> DataFrame:
@@ -89,8 +98,7 @@ def stub_answer(c: Column, name: str = "stub") -> Column:
 
 def round_robin(df: DataFrame, keys: int, group: list[str], order: list[str]) -> DataFrame:
     """With worker: the request's position in its group, modulo the number of keys."""
-    n = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("worker", F.pmod(n - 1, F.lit(keys)))
+    return positions(df, group, order, "_n").withColumn("worker", F.pmod(F.col("_n") - 1, F.lit(keys))).drop("_n")
 
 
 def transform_titles(segments: DataFrame, client: SegmentTransform, keys: list[str], system: str = "") -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from inkloom.functions.text import LINE_END, WS
+import unicodedata
 
+# White space and line ends of Unicode text, stated here anew: the SQL shares nothing with the engine.
+WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+LINE_END = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 NL = "chr(10)"
 HAN = "零一二三四五六七八九十百千"
 
@@ -39,43 +42,91 @@ DOC_LINES = f"""SELECT doc_id, i::INTEGER AS line_no, {strip('l')} AS line FROM
 
 SQUEEZED = f"list_filter(list_transform(string_split(coalesce(content, ''), {NL}), lambda x: {strip(f'''regexp_replace(x, '[{WS}]+', ' ', 'g')''')}), lambda x: x <> '')"
 
-BAREC = "regexp_replace(line, '^\\x{feff}', '')"
-BARE = strip(BAREC)
-SPECIAL = f"""CASE WHEN regexp_matches(b, '^序幕') THEN 'prologue' WHEN regexp_matches(b, '^(?:终幕|終幕)') THEN 'final_chapter'
-    WHEN regexp_matches(b, '^(?:里幕|幕间|幕間|特典|短篇|解說|断章|闲谈)') THEN 'interlude' WHEN regexp_matches(b, '(?i)^prologue(?:$|[: ])') THEN 'prologue'
-    WHEN regexp_matches(b, '(?i)^epilogue(?:$|[: ])') THEN 'epilogue' WHEN regexp_matches(b, '(?i)^interlude(?:$|[: ])') THEN 'interlude' WHEN b LIKE '序章%' THEN 'prologue'
-    WHEN regexp_matches(b, '^(?:后记|後記)') THEN 'epilogue' WHEN regexp_matches(b, '^(?:前言|绪言|引言|序言)') THEN 'foreword' WHEN regexp_matches(b, '^(?:终章|終章|尾声)') THEN 'final_chapter' END"""
-VOLUME = f"coalesce({han(f'''nullif(regexp_extract(b, '^第([{HAN}]+)卷', 1), '')''')}, " + ", ".join(num("b", p, 1) for p in (r"^第(\d+)卷", r"^[Qq]uyển\s*(\d+)", r"^[Tt]ập\s*(\d+)", r"^[Vv]olume\s*(\d+)", r"^[Vv]ol\.?\s*(\d+)", r"^[Bb]ook\s*(\d+)")) + ")"
-CHAPTER = "coalesce(" + ", ".join([num("b", r"^[Cc]hương\s+(\d+)", 1), han(f"nullif(regexp_extract(b, '^第([{HAN}]+)章', 1), '')"), num("b", r"^第(\d+)章", 1), num("b", r"^[Cc]hap\s+(\d+)", 1), han(f"nullif(regexp_extract(b, '^第([{HAN}]+)话', 1), '')"), num("b", r"^第(\d+)话", 1), han(f"nullif(regexp_extract(b, '^第([{HAN}]+)幕', 1), '')"), num("b", r"^第(\d+)幕", 1)]) + ")"
+BARE = f"regexp_replace({strip('line')}, '^\\x{{feff}}', '')"
+ND = [chr(c) for c in range(128, 0x110000) if unicodedata.category(chr(c)) == "Nd"]
+ASCII = "".join(str(unicodedata.digit(c)) for c in ND)
+
+
+def digits(p: str, g: int = 1, x: str = "b") -> str:
+    """The number that a group of a pattern holds, in digits of any script."""
+    return f"TRY_CAST(translate(nullif(regexp_extract({x}, '{p}', {g}), ''), '{''.join(ND)}', '{ASCII}') AS INTEGER)"
+
+
+S = f"[{WS}]*"
+N = r"\p{Nd}+"
+SPECIAL = f"""CASE WHEN b LIKE '序幕／%' THEN 'prologue' WHEN b LIKE '終幕／%' THEN 'final_chapter'
+    WHEN regexp_matches(b, '^(?:里幕|幕间|幕間|特典|短篇|解說|断章|闲谈)') THEN 'interlude'
+    WHEN lower(b[1:8]) = 'prologue' AND (length(b) = 8 OR regexp_matches(b[9], '[:{WS}]')) THEN 'prologue' WHEN lower(b[1:8]) = 'epilogue' AND (length(b) = 8 OR regexp_matches(b[9], '[:{WS}]')) THEN 'epilogue'
+    WHEN lower(b[1:9]) = 'interlude' AND (length(b) = 9 OR regexp_matches(b[10], '[:{WS}]')) THEN 'interlude' WHEN starts_with(b, '序章') THEN 'prologue' WHEN b[1:2] IN ('后记', '後記') THEN 'epilogue'
+    WHEN b[1:2] IN ('前言', '绪言', '引言', '序言') THEN 'foreword' WHEN b[1:2] IN ('终章', '終章', '尾声') THEN 'final_chapter' END"""
+NUMBERED = {"Quyển": f"^[Qq]uyển{S}", "Tập": f"^[Tt]ập{S}", "Volume": f"^[Vv]olume{S}", "Vol": f"^[Vv]ol{S}[.]?{S}", "Book": f"^[Bb]ook{S}"}
+HAN_VOLUME, ND_VOLUME = f"^第([{HAN}]+)卷", f"^第({N})卷"
+VOLUME = f"coalesce({han(f'''nullif(regexp_extract(b, '{HAN_VOLUME}', 1), '')''')}, {digits(ND_VOLUME)}, " + ", ".join(digits(f"{p}({N})") for p in NUMBERED.values()) + ")"
+
+
+def chapter() -> str:
+    """The number of the first form of a chapter heading that a line has."""
+    out = "CASE"
+    for p in (f"(?i)^chương{S}", "章", f"(?i)^chap{S}", "话", "幕"):
+        if len(p) == 1:
+            h = f"^第([{HAN}]+){p}"
+            out += f" WHEN regexp_matches(b, '{h}') THEN {han(f'''regexp_extract(b, '{h}', 1)''')} WHEN regexp_matches(b, '^第{N}{p}') THEN {digits(f'^第({N}){p}')}"
+        else:
+            out += f" WHEN regexp_matches(b, '{p}{N}') THEN {digits(f'{p}({N})')}"
+    return out + " END"
+
+
+CHAPTER = chapter()
 
 
 def vol_title() -> str:
-    out = "CASE WHEN regexp_matches(b, '^第[" + HAN + r"]+卷') OR regexp_matches(b, '^第\d+卷') THEN b"
-    for p, label in ((r"^[Qq]uyển\s*(\d+)", "Quyển"), (r"^[Tt]ập\s*(\d+)", "Tập"), (r"^[Vv]olume\s*(\d+)", "Volume"), (r"^[Vv]ol\.?\s*(\d+)", "Vol"), (r"^[Bb]ook\s*(\d+)", "Book")):
-        rest = f"regexp_replace(regexp_replace(b, '{p}', ''), '^[{WS}:：.-]+', '')"
-        out += f" WHEN regexp_matches(b, '{p}') THEN '{label} ' || regexp_extract(b, '{p}', 1) || CASE WHEN {rest} = '' THEN '' ELSE ': ' || {rest} END"
+    """A volume heading's title: for 第n卷 a space between the word and the rest, else ``Label n: rest``."""
+    out = "CASE"
+    for p in (HAN_VOLUME, ND_VOLUME):
+        rest = strip(f"regexp_replace(b, '{p}', '')")
+        out += f" WHEN regexp_matches(b, '{p}') THEN '第' || regexp_extract(b, '{p}', 1) || '卷' || CASE WHEN {rest} = '' THEN '' ELSE ' ' || {rest} END"
+    for label, p in NUMBERED.items():
+        rest = strip(f"regexp_replace(b, '{p}{N}[.:]?', '')")
+        out += f" WHEN regexp_matches(b, '{p}{N}') THEN '{label} ' || {digits(f'{p}({N})')} || CASE WHEN {rest} = '' THEN '' ELSE ': ' || {rest} END"
     return out + " END"
 
 
-BR = "[「『【《（(](.*?)[」』】》）)]"
-SPECIAL_TITLE = f"CASE WHEN b LIKE '序章%' THEN '序章' || CASE WHEN regexp_extract(b, '{BR}', 1) <> '' THEN ': ' || regexp_extract(b, '{BR}', 1) ELSE '' END WHEN b LIKE '终章%' THEN '终章' || CASE WHEN regexp_extract(b, '{BR}', 1) <> '' THEN ': ' || regexp_extract(b, '{BR}', 1) ELSE '' END WHEN regexp_matches(b, '^(?:終章|尾声)') THEN '终章' ELSE b END"
-HEADINGS = f"""SELECT doc_id, line_no, line, kind, CASE kind WHEN 'volume' THEN v WHEN 'chapter' THEN c END AS number,
-    CASE kind WHEN 'volume' THEN {vol_title()} WHEN 'chapter' THEN line WHEN 'body' THEN NULL ELSE {SPECIAL_TITLE} END AS title
-    FROM (SELECT *, CASE WHEN s IS NOT NULL THEN s WHEN v > 0 THEN 'volume' WHEN c > 0 AND c <= 5000 THEN 'chapter' ELSE 'body' END AS kind
-    FROM (SELECT *, {SPECIAL} AS s, {VOLUME} AS v, {CHAPTER} AS c FROM (SELECT *, {BARE} AS b FROM ({DOC_LINES}))))"""
+def bracketed(word: str) -> str:
+    return f"'{word}' || CASE WHEN regexp_matches(b, '{word}[「『].+?[」』]') THEN ': ' || regexp_extract(b, '{word}[「『](.+?)[」』]', 1) ELSE '' END"
+
+
+SPECIAL_TITLE = f"CASE WHEN starts_with(b, '序章') THEN {bracketed('序章')} WHEN b[1:2] IN ('终章', '終章', '尾声') THEN {bracketed('终章')} ELSE {strip('b')} END"
+
 
+def heads(rows: str) -> str:
+    """``rows`` (with b, the line without white space around it and without a byte-order mark) and kind, number, title."""
+    return f"""SELECT *, CASE kind WHEN 'volume' THEN v WHEN 'chapter' THEN c END AS number, CASE kind WHEN 'volume' THEN {vol_title()} WHEN 'chapter' THEN {strip('b')} WHEN 'body' THEN NULL ELSE {SPECIAL_TITLE} END AS title
+        FROM (SELECT *, CASE WHEN s IS NOT NULL THEN s WHEN v > 0 THEN 'volume' WHEN c > 0 AND c <= 5000 THEN 'chapter' ELSE 'body' END AS kind FROM (SELECT *, {SPECIAL} AS s, {VOLUME} AS v, {CHAPTER} AS c FROM ({rows})))"""
+
+
+HEADINGS = f"SELECT doc_id, line_no, line, kind, number, title FROM ({heads(f'SELECT *, {BARE} AS b FROM ({DOC_LINES})')})"
 W = "(PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING)"
 WV = "(PARTITION BY doc_id, vk ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-SECTIONS = f"""
+
+
+def sections(strict: bool = False) -> str:
+    """Sections by windows over the lines: volume, repeated chapters, numbers by volume, edges, then one row for each."""
+    tight = "dup AND coalesce(above = 1, false)" if strict else "false"
+    return f"""
     WITH h AS ({HEADINGS}),
     a AS (SELECT *, count_if(kind = 'volume') OVER {W} AS run, last_value(CASE WHEN kind = 'volume' THEN number END IGNORE NULLS) OVER {W} AS volume FROM h),
     b AS (SELECT *, kind = 'chapter' AND row_number() OVER (PARTITION BY doc_id, run, CASE WHEN kind = 'chapter' THEN number END ORDER BY line_no) > 1 AS dup, coalesce(volume, 0) AS vk FROM a),
-    c AS (SELECT *, kind <> 'body' AND NOT dup AS kept FROM b),
+    c AS (SELECT *, kind <> 'body' AND NOT dup AS kept, lag(CASE WHEN line = '' THEN 0 WHEN dup THEN 2 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS above FROM b),
     d AS (SELECT *, coalesce(max(CASE WHEN kept AND kind = 'chapter' THEN number END) OVER {WV}, 0) AS top, coalesce(count_if(kind = 'final_chapter') OVER {WV}, 0) AS finals, coalesce(count_if(kind = 'interlude') OVER {WV}, 0) AS inters FROM c),
-    e AS (SELECT *, CASE WHEN NOT kept THEN NULL WHEN kind IN ('volume', 'prologue') THEN 0 WHEN kind = 'chapter' THEN number WHEN kind IN ('final_chapter', 'epilogue') THEN top + 1 + finals WHEN kind = 'interlude' THEN 901 + inters END AS n,
-        CASE WHEN kind = 'foreword' THEN 'foreword' WHEN kind IN ('volume', 'chapter') THEN 'Volume_' || vk ELSE 'Volume_' || vk || '_' || kind END AS sid FROM d),
-    f AS (SELECT *, coalesce(last_value(n IGNORE NULLS) OVER {W}, 0)::INTEGER AS chapter, coalesce(last_value(CASE WHEN kept THEN title END IGNORE NULLS) OVER {W}, '') AS head, coalesce(last_value(CASE WHEN kept THEN sid END IGNORE NULLS) OVER {W}, 'none') AS hid, count_if(kept) OVER {W} AS section FROM e),
-    s AS (SELECT doc_id, section::BIGINT AS section, arg_min(hid, line_no) AS section_id, any_value(volume) AS volume, arg_min(chapter, line_no) AS chapter, arg_min(head, line_no) AS title, list(line ORDER BY line_no) AS lines FROM f WHERE line <> '' AND NOT dup GROUP BY doc_id, section HAVING count(*) > 1)"""
+    e0 AS (SELECT *, CASE WHEN NOT kept THEN NULL WHEN kind IN ('volume', 'prologue') THEN 0 WHEN kind = 'chapter' THEN number WHEN kind IN ('final_chapter', 'epilogue') THEN top + 1 + finals WHEN kind = 'interlude' THEN 901 + inters END AS n FROM d),
+    e AS (SELECT *, CASE WHEN volume IS NULL THEN '' ELSE 'Volume_' || volume || '_' END AS pre FROM e0),
+    f0 AS (SELECT *, CASE WHEN kind = 'volume' THEN 'Volume_' || volume WHEN kind = 'foreword' THEN pre || 'foreword' ELSE pre || 'Chapter_' || n END AS sid FROM e),
+    f AS (SELECT *, coalesce(last_value(n IGNORE NULLS) OVER {W}, 0)::INTEGER AS chapter, coalesce(last_value(CASE WHEN kept THEN title END IGNORE NULLS) OVER {W}, '') AS head, coalesce(last_value(CASE WHEN kept THEN sid END IGNORE NULLS) OVER {W}, 'none') AS hid, count_if(kept OR ({tight})) OVER {W} AS section FROM f0),
+    s AS (SELECT doc_id, section::INTEGER AS section, arg_min(hid, line_no) AS section_id, any_value(volume) AS volume, arg_min(chapter, line_no) AS chapter, arg_min(head, line_no) AS title, list(CASE WHEN kept THEN title ELSE line END ORDER BY line_no) AS lines FROM f WHERE line <> '' AND NOT dup GROUP BY doc_id, section HAVING count(*) > 1)"""
+
+
+SECTIONS = sections()
+SECTION_ROWS = "SELECT doc_id, section, section_id, volume, chapter, title, len(lines)::INTEGER AS n_lines, array_to_string(lines, chr(10)) AS text FROM s"
 
 
 def greedy(most: int) -> str:
@@ -156,19 +207,22 @@ SQL: dict[str, str] = {
     "base_clean": f"SELECT page_id, {strip(f'''regexp_replace(regexp_replace(content, '[\\x{{200b}}\\x{{200c}}\\x{{200d}}\\x{{feff}}]', '', 'g'), '\\n[{WS}]*\\n[{WS}]*\\n+', {NL} || {NL}, 'g')''')} AS content FROM crawl_pages",
     "xml_clean": r"SELECT page_id, regexp_replace(content, '[^\x{9}\x{A}\x{D}\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]', '', 'g') AS content FROM crawl_pages",
     "para_html": f"SELECT row_id, array_to_string(list_transform(list_filter(list_transform(string_split(replace(replace(replace(content, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), {SEP}), lambda x: {strip('x')}), lambda x: x <> ''), lambda x: '<p>' || replace(x, {NL}, '<br/>') || '</p>'), {NL}) AS html FROM segments",
-    "sentence_paragraphs": f"SELECT row_id, '''' || {strip(f'''regexp_replace(regexp_replace(content, '([。！？][”’」』]*)', '\\1' || {SEP}, 'g'), '\\n{{3,}}', {SEP}, 'g')''')} AS content FROM segments",
+    "sentence_paragraphs": f"""WITH p AS (SELECT row_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(content, '([。！？])([^{WS}])', '\\1' || {SEP} || '\\2', 'g'), '(["」])([^{WS}])', '\\1' || {SEP} || '\\2', 'g'), '([。！？])[{WS}]+([^{WS}])', '\\1' || {SEP} || '\\2', 'g'), '(["」])[{WS}]+([^{WS}])', '\\1' || {SEP} || '\\2', 'g'), '\\n{{3,}}', {SEP}, 'g') AS t FROM segments),
+        l AS (SELECT row_id, unnest(range(1, len(a) + 1)) AS i, unnest(a) AS x FROM (SELECT row_id, list_transform(string_split(t, {NL}), lambda x: {strip('x')}) AS a FROM p)),
+        k AS (SELECT *, lag(x) OVER (PARTITION BY row_id ORDER BY i) AS before FROM l), m AS (SELECT row_id, string_agg(CASE WHEN i = 1 THEN '''' || x ELSE x END, {NL} ORDER BY i) AS content FROM k WHERE x <> '' OR coalesce(before, '') <> '' GROUP BY row_id)
+        SELECT s.row_id, CASE WHEN s.content IS NULL THEN NULL ELSE coalesce(m.content, '') END AS content FROM segments s LEFT JOIN m ON s.row_id = m.row_id""",
     "id_parse_all": f"SELECT row_id, {R1V} AS r1_volume, {R1C} AS r1_chapter, {R2} AS r2_segment, {R3} AS r3_key, {R4} AS r4_chapter, {R5} AS r5_chapter, {R6V} AS r6_volume, {R6C} AS r6_chapter, {R6S} AS r6_segment, {R7} AS r7_key, {R8A} AS r8_major, {R8B} AS r8_minor FROM segments",
     "output_names": f"""SELECT book, {KEY('book')} AS name_key, regexp_replace(book_title, '[^\\p{{L}}\\p{{N}}\\p{{M}}_\\-.]', '_', 'g') AS safe_name,
         CASE WHEN coalesce(content_type, '') = '' OR starts_with({KEY(STEM)}, {KEY("coalesce(content_type, '')")}) THEN {STEM} ELSE content_type || '_' || {STEM} END || '_context.yaml' AS output_name,
         book || '_' || split_mode || '_split.yaml' AS split_name, strftime(added_at AT TIME ZONE 'UTC', '%d%m%y_%H%M') || '_oai_' || book || '_' || split_mode || '.yaml' AS stamped_name,
         CASE WHEN length({LONG}) > 50 THEN substr({LONG}, 1, 47) || '...' ELSE {LONG} END AS shortened, substr(book || '_secret_' || book, 1, 10) || '...' || right(book, 4) AS masked FROM books""",
     "detect_headings": f"SELECT doc_id, line_no, kind, number, title FROM ({HEADINGS}) WHERE kind <> 'body'",
-    "sections_from_lines": f"{SECTIONS} SELECT doc_id, section, section_id, volume, chapter, title, len(lines)::INTEGER AS n_lines, array_to_string(lines, {NL}) AS text FROM s",
+    "sections_strict": f"{sections(True)} {SECTION_ROWS}",
+    "sections_from_lines": f"{SECTIONS} {SECTION_ROWS}",
     "out_of_order_chapters": f"""SELECT book, line_no, previous, number FROM (SELECT book, page_id AS line_no, number, lag(number) OVER (PARTITION BY book ORDER BY page_id) AS previous FROM (
-        SELECT book, page_id, {CHAPTER} AS number FROM (SELECT book, page_id, {strip("regexp_replace(title, '^\\x{feff}', '')")} AS b FROM crawl_pages)) WHERE number <= 5000) WHERE previous IS NOT NULL AND number <> previous + 1 AND number <> 1""",
-    "chapter_classes": f"""SELECT cat_id, CASE WHEN c THEN 'chapter' ELSE 'interlude' END AS type, coalesce({han(f"nullif(regexp_extract(b, '^第([{HAN}]+)章', 1), '')")}, {num('b', r'^第(\d{1,3})章', 1)}) AS number, b AS title, NOT c AS is_special FROM (
-        SELECT cat_id, b, regexp_matches(b, '^第[{HAN}]+章') OR regexp_matches(b, '^第\\d{{1,3}}章') AS c FROM (SELECT cat_id, coalesce({strip("regexp_replace(title, '^\\x{feff}', '')")}, '') AS b FROM chapter_catalog))""",
-    "route_url": "SELECT page_id, CASE WHEN contains(url, '.example') THEN 'site_a' WHEN contains(url, '.test') THEN 'site_b' WHEN contains(url, '.invalid') THEN 'site_c' END AS parser FROM crawl_pages",
+        SELECT book, page_id, {CHAPTER} AS number FROM (SELECT book, page_id, regexp_replace({strip("title")}, '^\\x{{feff}}', '') AS b FROM crawl_pages)) WHERE number <= 5000) WHERE previous IS NOT NULL AND number <> previous + 1 AND number <> 1""",
+    "chapter_classes": f"""SELECT cat_id, CASE WHEN c THEN 'chapter' ELSE 'interlude' END AS type, coalesce({han(f"nullif(regexp_extract(b, '^第([{HAN}]+)章', 1), '')")}, {digits('^第(\\p{Nd}{1,3})章')}) AS number, b AS title, NOT c AS is_special FROM (
+        SELECT cat_id, b, regexp_matches(b, '^第[{HAN}]+章') OR regexp_matches(b, '^第\\p{{Nd}}{{1,3}}章') AS c FROM (SELECT cat_id, coalesce(regexp_replace({strip("title")}, '^\\x{{feff}}', ''), '') AS b FROM chapter_catalog))""",
     "content_types": "SELECT doc_id, CASE string_split(path, '/')[1] WHEN 'yunji_raw' THEN 'WebNovel' WHEN 'moque_raw' THEN 'Urban' WHEN 'oldforum_raw' THEN 'Forum' ELSE 'LightNovel' END AS content_type FROM documents",
     "file_titles": r"""SELECT log_id, coalesce(TRY_CAST(nullif(regexp_extract(log_file, '(\d+)', 1), '') AS INTEGER) - 2, log_id)::INTEGER AS chapter, CASE WHEN len(kept) > 0 THEN array_to_string(list_transform(kept, lambda x: upper(x[1]) || lower(x[2:])), ' ') END AS title FROM (
         SELECT log_id, log_file, list_transform(list_filter(list_zip(p, range(1, len(p) + 1)), lambda z: NOT regexp_matches(z[1], '^\d+$') AND NOT coalesce(z[2] > 1 AND regexp_matches(p[z[2] - 1], '^\d{6}$'), false) AND lower(z[1]) NOT IN ('context', 'titles') AND z[1] <> ''), lambda z: z[1]) AS kept FROM (
@@ -183,8 +237,10 @@ SQL: dict[str, str] = {
         SELECT doc_id, n::INTEGER AS ord, 'Segment_' || n AS id, title, '''' || title || {SEP} || body AS content FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section) AS n FROM t WHERE body <> '')""",
     "section_plain_segments": f"""{SECTIONS}, t AS (SELECT doc_id, section, chapter, lines[1] AS title, lines[2:] AS l FROM s), p AS ({packed('SELECT * FROM t', 'doc_id, section, chapter, title', 800)})
         SELECT doc_id, n::INTEGER AS ord, 'Chapter_' || chapter || '_Segment_' || n AS id, title, content FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section, segment) AS n FROM p)""",
+    "section_text_segments": f"{SECTIONS} SELECT doc_id, n::INTEGER AS ord, 'Segment_' || n AS id, title, array_to_string(lines[2:], {SEP}) AS content FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section) AS n FROM s)",
     "section_text_layout": f"""{SECTIONS}, t AS (SELECT doc_id, section, chapter, lines[1] AS title, lines[2:] AS l FROM s), p AS ({packed('SELECT * FROM t', 'doc_id, section, chapter, title', 800)})
-        SELECT doc_id, string_agg('Chapter_' || chapter || '_Segment_' || n || {NL} || title || {NL} || content || {NL}, {NL} ORDER BY n) AS text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section, segment) AS n FROM p) GROUP BY doc_id""",
+        SELECT doc_id, string_agg('Chapter_' || chapter || '_Segment_' || n || {NL} || title || {NL} || content || {SEP} || {NL}, '' ORDER BY n) AS text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section, segment) AS n FROM p) GROUP BY doc_id""",
+    "section_simple_layout": f"{SECTIONS} SELECT doc_id, string_agg('Segment_' || n || {NL} || title || {NL} || array_to_string(list_transform(lines[2:], lambda x: x || {SEP}), '') || {NL}, '' ORDER BY n) AS text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section) AS n FROM s) GROUP BY doc_id",
     "merge_chapters": MERGED,
     "chapter_json": f"SELECT book, chapter_number, chapter_title, total_segments, array_to_string(ids, '|') AS ids, array_to_string(lengths, '|') AS lengths FROM ({NESTED})",
     "chapter_index": f"SELECT book, count(*) AS total_chapters, sum(total_segments)::BIGINT AS total_segments, string_agg('chapter_' || lpad(chapter_number::VARCHAR, greatest(3, length(chapter_number::VARCHAR))::INTEGER, '0') || '.json:' || total_segments, '|' ORDER BY chapter_number) AS files FROM ({NESTED}) GROUP BY book",
@@ -207,8 +263,10 @@ SQL: dict[str, str] = {
     "volume_change_marker": f"""SELECT page_id, book, chapter_num, volume FROM (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY book ORDER BY chapter_num NULLS FIRST, page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM (SELECT *, CASE WHEN {strip("coalesce(volume, '')")} <> '' THEN volume END AS v FROM crawl_pages)) WHERE v IS NOT NULL AND v IS DISTINCT FROM p""",
     "next_chain": """WITH RECURSIVE one AS (SELECT url, arg_max_null(next_url, {'s': coalesce(success, false), 'p': page_id}) AS nxt, max(coalesce(success, false)) AS ok FROM crawl_pages WHERE url IS NOT NULL GROUP BY url),
         walk AS (SELECT 1 AS step, url, [url] AS seen, nxt FROM one WHERE ok AND url = (SELECT arg_min(url, cat_id) FROM chapter_catalog WHERE url <> '')
-            UNION ALL SELECT w.step + 1, o.url, list_append(w.seen, o.url), o.nxt FROM walk w JOIN one o ON o.url = w.nxt WHERE o.ok AND w.step < 200 AND NOT list_contains(w.seen, o.url))
+            UNION ALL SELECT w.step + 1, o.url, list_append(w.seen, o.url), o.nxt FROM walk w JOIN one o ON o.url = w.nxt WHERE o.ok AND NOT list_contains(w.seen, o.url))
         SELECT step, url FROM walk""",
+    "long_chain": "SELECT row_number() OVER (ORDER BY page_id)::INTEGER AS step, 'p' || row_number() OVER (ORDER BY page_id) AS url FROM (SELECT DISTINCT page_id FROM crawl_pages)",
+    "catalog_volumes": "SELECT book, ceil(count(*) / 100)::BIGINT AS n_volumes, count(*) AS n_chapters, 1::INTEGER AS first_volume, ceil(count(*) / 100)::INTEGER AS last_volume FROM chapter_catalog GROUP BY book",
     "bilingual_split": f"""WITH l AS (SELECT book, id, bil_id, CASE WHEN lang = 'zh' THEN 'JP' ELSE 'ZH' END AS lang, unnest(range(len(a))) AS i, unnest(a) AS x FROM (SELECT *, list_filter(list_transform(string_split(content, {NL}), lambda x: {strip('x')}), lambda x: x <> '') AS a FROM bilingual WHERE content IS NOT NULL)),
         n AS (SELECT *, row_number() OVER (PARTITION BY book, id ORDER BY i, bil_id, x) AS n, count(*) OVER (PARTITION BY book, id) AS total FROM l), k AS (SELECT DISTINCT book, id, unnest(['JP', 'ZH']) AS lang FROM n WHERE total >= 2)
         SELECT k.book, k.id, k.lang, arg_max(CASE WHEN n.lang = k.lang AND n <= 2 THEN x END, CASE WHEN n.lang = k.lang AND n <= 2 THEN n END) AS title, count_if(n.lang = k.lang AND n > 2)::INTEGER AS n_lines, coalesce(string_agg(CASE WHEN n.lang = k.lang AND n > 2 THEN x END, {NL} ORDER BY n), '') AS text FROM k JOIN n ON n.book = k.book AND n.id = k.id GROUP BY 1, 2, 3""",

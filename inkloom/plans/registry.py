@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.functions import ids
 from inkloom.functions import text as T
-from inkloom.operators import buckets, classify, filters, html, incremental, pack, quality, reconcile, reshape, sections, transform
+from inkloom.operators import buckets, classify, filters, html, incremental, pack, quality, ranks, reconcile, reshape, sections, transform
+from inkloom.plans.inputs import ADDRESSES, FOOT, FORMS, NAV, PAGES
 from inkloom.plans.oracles import SQL
-from inkloom.runtime import spread, table
-from inkloom.sources import readers
+from inkloom.plans.oracles_io import SQL as SQL_IO
+from inkloom.runtime import shared_dir, spread, table
+from inkloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 FOUND: dict[str, Query] = {}
@@ -93,19 +96,42 @@ def output_names(spark, d):
 # classifiers and sections
 
 
-def doc_lines(spark, d) -> DataFrame:
-    return sections.lines(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
+def raw_docs(spark, d) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def structured(spark, d, **kw) -> DataFrame:
+    return sections.structure(raw_docs(spark, d), "doc_id", "text", **kw)
+
+
+def section_rows(structured: DataFrame) -> DataFrame:
+    return sections.sections(structured, "doc_id").select("doc_id", "section", "section_id", "volume", "chapter", "title", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("text"))
 
 
 @query
 def detect_headings(spark, d):
-    return sections.headings(doc_lines(spark, d)).where("kind <> 'body'").select("doc_id", "line_no", "kind", "number", "title")
+    return sections.headings(raw_docs(spark, d), "doc_id", "text")
 
 
 @query
 def sections_from_lines(spark, d):
-    s = sections.sections(doc_lines(spark, d), "doc_id")
-    return s.select("doc_id", "section", "section_id", "volume", "chapter", "title", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("text"))
+    return section_rows(structured(spark, d))
+
+
+@query
+def sections_strict(spark, d):
+    """Sections where a repeated heading right below text opens one of its own."""
+    return section_rows(structured(spark, d, strict_compat=True))
+
+
+@query
+def heading_forms(spark, d):
+    """Every form of a heading with the number and title of each catalog entry."""
+    c = table(spark, d, "chapter_catalog").select("cat_id", F.coalesce("chapter_num", F.lit(1)).cast("string").alias("n"), F.coalesce("title", F.lit("")).alias("t"))
+    wide = F.translate("n", "0123456789", "０１２３４５６７８９")
+    forms = F.array(*[F.replace(F.replace(F.replace(F.lit(f), F.lit("{n}"), F.col("n")), F.lit("{t}"), F.col("t")), F.lit("{w}"), wide) for f in FORMS])
+    rows = c.select("cat_id", F.posexplode(forms).alias("form", "line"))
+    return rows.select("cat_id", "form", classify.heading(F.col("line")).alias("h")).select("cat_id", "form", "h.kind", "h.number", "h.title")
 
 
 @query
@@ -122,12 +148,27 @@ def chapter_classes(spark, d):
     return table(spark, d, "chapter_catalog").select("cat_id", c["type"].alias("type"), c["number"].alias("number"), c["title"].alias("title"), c["is_special"].alias("is_special"))
 
 
-SITES = ((".example", "site_a"), (".test", "site_b"), (".invalid", "site_c"))
+@query
+def route_real(spark, d):
+    """Addresses of the sites, of their mirrors and of others, for each page."""
+    urls = F.array(*[F.replace(F.lit(a), F.lit("{}"), F.col("page_id").cast("string")) for a in ADDRESSES])
+    return table(spark, d, "crawl_pages").select("page_id", F.explode(urls).alias("url")).select("page_id", "url", classify.route(F.col("url")).alias("parser"))
 
 
 @query
 def route_url(spark, d):
-    return table(spark, d, "crawl_pages").select("page_id", classify.route(F.col("url"), SITES).alias("parser"))
+    """The pages' own addresses: no site of the list, so by the first part of their host."""
+    sites = (("slowreader", "site_a"), ("canxue", "site_b"), (".example", "site_c"), (".invalid", "site_d"))
+    u = F.col("url")
+    return table(spark, d, "crawl_pages").select("page_id", classify.route(u).alias("parser"), classify.route(u, sites).alias("site"))
+
+
+@query
+def parsers_by_name(spark, d):
+    """Parsers by type name in any case, for the names of all aliases, sources and providers."""
+    names = spark.createDataFrame([(x,) for a in classify.ALIASES for x in (a, a.upper(), a.title())], "name string")
+    names = names.unionByName(table(spark, d, "documents").select(F.col("source").alias("name"))).unionByName(table(spark, d, "translations").select(F.col("provider").alias("name"))).distinct()
+    return names.select("name", classify.parser_by_name(F.col("name")).alias("parser"), transform.provider_of(F.col("name")).alias("provider"), T.thinks(F.concat("name", F.lit("-2.5-pro"))).alias("thinks"), T.thinks(F.col("name")).alias("plain_thinks"))
 
 
 @query
@@ -147,7 +188,7 @@ def file_titles(spark, d):
 
 def packed(spark, d, most: int = 2000) -> DataFrame:
     lines = F.filter(F.transform(T.split_lines(F.col("text")), T.strip_u), lambda x: x != "")
-    return pack.pack_lines(spread(table(spark, d, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", lines.alias("lines")), ["doc_id", "lang"], "lines", most)
+    return pack.pack_lines(spread(table(spark, d, "documents").select("doc_id", "lang", "text")), ["doc_id", "lang"], lines, most)
 
 
 @query
@@ -163,23 +204,42 @@ def pack_stats_by_lang(spark, d):
 @query
 def section_segments(spark, d):
     """Sections packed into segments with ids over the whole text."""
-    return pack.segments_of_sections(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id", 500)
+    return pack.segments_of_sections(structured(spark, d), "doc_id", 500)
 
 
 @query
 def section_simple_segments(spark, d):
-    return pack.simple_segments(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id")
+    return pack.render(structured(spark, d), "doc_id", "yaml", 2)
 
 
 @query
 def section_plain_segments(spark, d):
-    return pack.render(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id", "txt", 1, 800)
+    return pack.render(structured(spark, d), "doc_id", "txt", 1, 800)
+
+
+@query
+def section_text_segments(spark, d):
+    return pack.render(structured(spark, d), "doc_id", "txt", 2)
 
 
 @query
 def section_text_layout(spark, d):
     """Each text as its segments are written to a text file."""
-    return pack.text_layout(pack.render(sections.sections(doc_lines(spark, d), "doc_id"), "doc_id", "txt", 1, 800), "doc_id")
+    return pack.text_layout(structured(spark, d), "doc_id", 1, 800)
+
+
+@query
+def section_simple_layout(spark, d):
+    """Each text as its sections are written to a text file."""
+    return pack.text_layout(structured(spark, d), "doc_id", 2)
+
+
+@query
+def chapter_segments(spark, d):
+    """Bilingual chapters packed, each segment below its title."""
+    lines = F.filter(F.transform(F.split("content", "\n"), T.strip_u), lambda x: x != "")
+    chapters = table(spark, d, "bilingual").select("bil_id", F.coalesce("ord", F.lit(0)).alias("chapter"), "title", lines.alias("lines"))
+    return pack.segments_of_chapters(chapters, ["bil_id", "chapter", "title"], "lines", 300)
 
 
 # reshaping
@@ -261,7 +321,20 @@ def volume_change_marker(spark, d):
 def next_chain(spark, d):
     """The chain of pages from the first address of the catalog's first entry."""
     start = table(spark, d, "chapter_catalog").where("url <> ''").agg(F.min_by("url", "cat_id").alias("u")).first().u
-    return reshape.chain(table(spark, d, "crawl_pages"), start, most=200)
+    return reshape.chain(table(spark, d, "crawl_pages"), start)
+
+
+@query
+def long_chain(spark, d):
+    """The chain through all pages in the order of their numbers: as long as the table."""
+    p = table(spark, d, "crawl_pages").select("page_id").distinct()
+    at = ranks.positions(p.withColumn("k", F.lit(1)), ["k"], ["page_id"], "at").select(F.concat(F.lit("p"), F.col("at")).alias("url"), F.concat(F.lit("p"), F.col("at") + 1).alias("next_url"), F.lit(True).alias("success"), F.col("at").alias("page_id"))
+    return reshape.chain(at, "p1")
+
+
+@query
+def catalog_volumes(spark, d):
+    return reshape.volume_totals(reshape.numbered_catalog(table(spark, d, "chapter_catalog").select("cat_id", "book"), "book", "cat_id"), ["book"])
 
 
 @query
@@ -441,6 +514,73 @@ def html_text(spark, d):
     return p.select("page_id", html.strip_u(html.strip_tags(html.element(made, "h1"))).alias("title"), html.text_of(html.element(made, "body")).alias("text"))
 
 
+def escaped(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+@query
+def html_sites(spark, d):
+    """Each page as one of the sites prints it, and what its parser gets out of it."""
+    p = spread(table(spark, d, "crawl_pages").select("page_id", "title", "content", "next_url"))
+    lines = F.split(escaped(F.col("content")), "\n")
+    tagged = lambda a, b: F.array_join(F.transform(lines, lambda x: F.concat(F.lit(a), x, F.lit(b))), "")
+    parts = {"{t}": escaped(F.col("title")), "{p}": tagged("<p>", "</p>"), "{b}": tagged("", "<br>"), "{f}": tagged("<font>", "</font>"), "{i}": tagged("<p id='txt_1'>", "</p>"), "{n}": F.coalesce("next_url", F.lit("index.html"))}
+    parser = F.element_at(F.array(*map(F.lit, PAGES)), (F.pmod("page_id", F.lit(len(PAGES))) + 1).cast("int"))
+    made = F.element_at(F.create_map(*[F.lit(x) for kv in PAGES.items() for x in kv]), parser)
+    for k in ("{n}", "{t}", "{p}", "{b}", "{f}", "{i}"):
+        made = F.replace(made, F.lit(k), parts[k])
+    rows = p.select("page_id", parser.alias("parser"), made.alias("html"))
+    return rows.select("page_id", "parser", html.extract(F.col("html"), F.lit("https://site.example/a/b.html"), F.col("parser")).alias("r")).select("page_id", "parser", "r.*")
+
+
+@query
+def book_pages(spark, d):
+    """Each book's page: title, cover, author, tags, synopsis."""
+    b = table(spark, d, "books")
+    made = F.concat(F.lit('<div class="booknav2"><h1><a href="/">'), escaped(F.col("book_title")), F.lit('</a></h1><p><a href="/author/1">'), F.col("book"), F.lit('</a></p><p><a href="/class/2">'), F.coalesce("content_type", F.lit("none")), F.lit('</a></p></div><div class="bookimg2"><img src="../'), F.col("book"), F.lit(".jpg\"></div><script>tags: '"), F.col("lang"), F.lit("| "), F.col("split_mode"), F.lit(' |\'</script><div class="navtxt"><p>'), escaped(F.col("book_title")), F.lit("<br>x</p><p>y</p></div>"))
+    r = b.select("book", html.novel_info(made, F.lit("https://h.example/txt/1/a.html")).alias("r")).select("book", "r.*")
+    return r.withColumn("tags", F.array_join("tags", "|"))
+
+
+def catalog_pages(spark, d) -> DataFrame:
+    """A catalog page for each book and hundred entries of the table."""
+    c = table(spark, d, "chapter_catalog").select("book", "cat_id", F.expr("cat_id div 100").alias("page"), F.concat(F.lit('<li><a href="../c/'), F.col("cat_id"), F.lit('.html">'), escaped(F.col("title")), F.lit("</a></li>")).alias("li"))
+    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cat_id", "li"))), lambda x: x["li"]), "")
+    return c.groupBy("book", "page").agg(F.concat(F.lit(NAV + '<div id="catalog"><ul>'), items, F.lit("</ul></div>" + FOOT)).alias("html"))
+
+
+@query
+def catalog_page_links(spark, d):
+    r = catalog_pages(spark, d).select("book", "page", html.novel_chapters(F.col("html"), F.lit("https://h.example/a/b/"), 10).alias("r"))
+    return r.select("book", "page", F.explode("r").alias("c")).select("book", "page", "c.id", "c.volume", "c.title", "c.url")
+
+
+@query
+def search_pages(spark, d):
+    """A search page for each book, its title in another case, and the body of a chapter's page."""
+    b = table(spark, d, "books")
+    made = F.concat(F.lit('<div class="newbox"><ul><li><a href="/b/'), F.col("book"), F.lit('.htm"></a><h3><a imgbox="1">i</a><a>'), escaped(F.col("book")), F.lit('</a></h3><div class="zxzj"><p>'), escaped(F.col("book_title")), F.lit("</p></div></li></ul></div>"))
+    body = F.concat(F.lit('<div class="txtnav"><h1>T</h1><div class="txtinfo"><div>i</div></div>'), escaped(F.col("book_title")), F.lit('<br>x &amp; y<div id="txtright">r</div></div>'), F.lit(FOOT))
+    r = b.select("book", html.search_results(made, F.lit("https://h.example/s")).alias("r"), html.chapter_body(body).alias("body"))
+    return r.select("book", "body", F.explode("r").alias("x")).select("book", "body", "x.title", "x.url", "x.info")
+
+
+@query
+def url_join(spark, d):
+    """The next page's address, written in several ways as seen from a page of its host."""
+    u = table(spark, d, "crawl_pages").where("next_url is not null").select("page_id", F.col("next_url").alias("n"))
+    tail = F.regexp_replace("n", "^[a-z]+://[^/]+", "")
+    host = F.regexp_extract("n", "^([a-z]+://[^/]+)", 1)
+    name = F.regexp_extract("n", "([^/]*)$", 1)
+    folder = F.regexp_replace("n", "[^/]*$", "")
+    pairs = F.array(
+        F.struct(F.col("n").alias("page"), F.lit("https://other.example/x").alias("base")), F.struct(tail.alias("page"), F.concat(host, F.lit("/q/r.html")).alias("base")), F.struct(name.alias("page"), F.concat(folder, F.lit("z.html")).alias("base")),
+        F.struct(F.concat(F.lit("../"), name).alias("page"), F.concat(folder, F.lit("sub/z.html")).alias("base")), F.struct(F.concat(F.lit("./a/../"), name).alias("page"), folder.alias("base")), F.struct(F.regexp_replace("n", "^[a-z]+:", "").alias("page"), F.concat(F.regexp_extract("n", "^([a-z]+)", 1), F.lit("://o.example/x")).alias("base")),
+        F.struct(F.lit("").alias("page"), F.col("n").alias("base")), F.struct(F.lit("?q=1#f").alias("page"), F.concat("n", F.lit("?old#g")).alias("base")),
+    )
+    return u.select("page_id", F.posexplode(pairs).alias("form", "p")).select("page_id", "form", T.join_url(F.col("p.page"), F.col("p.base")).alias("url"))
+
+
 # transform and incremental
 
 
@@ -486,9 +626,224 @@ def operation_tree(spark, d):
     return quality.folder_tree(p)
 
 
+@query
+def retried(spark, d):
+    """Segments answered with a client that fails on a word: two attempts each, failures left out."""
+    word = "的"
+    got = transform.transform(segments(spark, d).select("row_id", "content"), transform.Stub(fail_on=word), retries=1, keep_failed=False)
+    return got.select("row_id", "content", "ok", "attempts")
+
+
+@query
+def history_upsert(spark, d):
+    """The history of files by path and mode, brought up to date with the documents crawled since."""
+    files = incremental.hashed(table(spark, d, "documents").select(F.col("path").alias("rel_path"), "text", "source", "crawled_at", "doc_id"), "text")
+    rows = files.select("rel_path", F.when(F.col("source") == "yunji_raw", "web").otherwise("context").alias("mode"), "file_hash", F.col("crawled_at").alias("processed_date"), F.col("doc_id").cast("string").alias("output_file"))
+    late = F.col("processed_date") >= F.timestamp_micros(F.lit(0))
+    return incremental.updated_history(rows.where(late), rows.where(late).withColumn("output_file", F.concat("output_file", F.lit("b")))).drop("processed_date")
+
+
+def checkpoints(spark, d) -> DataFrame:
+    last = F.max_by(F.struct(F.col("chapter_num").alias("chapter_count"), F.col("url").alias("last_url"), F.col("title").alias("last_title")), F.struct("fetched_at", "page_id"))
+    return table(spark, d, "crawl_pages").where("success").groupBy(F.col("book").alias("series_name")).agg(last.alias("c")).select("series_name", "c.*")
+
+
+@query
+def checkpoint_states(spark, d):
+    """For each book: whether a checkpoint is there after saving those of the crawl over those of the catalog and deleting one."""
+    old = table(spark, d, "chapter_catalog").groupBy(F.col("book").alias("series_name")).agg(F.max("chapter_num").alias("chapter_count")).select("series_name", "chapter_count", F.lit(None).cast("string").alias("last_url"), F.lit(None).cast("string").alias("last_title"))
+    saved = incremental.save_checkpoint(old, checkpoints(spark, d))
+    gone = table(spark, d, "books").agg(F.min("book")).first()[0]
+    left = incremental.delete_checkpoint(saved, gone)
+    have = incremental.has_checkpoint(left, table(spark, d, "books").select(F.col("book").alias("series_name")))
+    return have.join(left, "series_name", "left")
+
+
+@query
+def loaded_checkpoint(spark, d):
+    return incremental.load_checkpoint(checkpoints(spark, d), table(spark, d, "crawl_pages").agg(F.max("book")).first()[0])
+
+
+@query
+def resumed_crawl(spark, d):
+    """Pages up to chapter 10, then a run that begins at 11; and a run that begins at 1."""
+    p = table(spark, d, "crawl_pages").select("page_id", "book", "chapter_num")
+    done, new = p.where("chapter_num <= 10"), p.where("chapter_num > 10")
+    return incremental.resumed(done, new, 11).withColumn("run", F.lit("append")).unionByName(incremental.resumed(done, new, 1).withColumn("run", F.lit("overwrite")))
+
+
+# filters by configuration, sinks and sources
+
+
+@query
+def filter_modes(spark, d):
+    """Rows that each filter of a configuration keeps."""
+    s = segments(spark, d).select("row_id", "id")
+    configs = {
+        "segment": {"filter_mode": "segment", "segment_filter": {"enabled": True, "start_segment": 2, "end_segment": 9}}, "chapter": {"chapter_filter": {"enabled": True, "start_chapter": 2, "end_chapter": 30}},
+        "off": {"filter_mode": "segment", "segment_filter": {"enabled": False}}, "none": {"filter_mode": "all"},
+    }
+    out = [filters.segments_filter(s, c).select("row_id", F.lit(name).alias("mode")) for name, c in configs.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query
+def checked_chapters(spark, d):
+    """Chapters 2 to 5, inside those there are."""
+    return filters.checked_range(segments(spark, d), 2, 5).select("row_id", "id")
+
+
+@query
+def enabled_pages(spark, d):
+    return filters.enabled(table(spark, d, "crawl_pages").select("page_id", "success"), "success")
+
+
+@query
+def crawl_outcome(spark, d):
+    return quality.outcome(table(spark, d, "crawl_pages"), ["site"], "success")
+
+
+@query
+def crawl_failures(spark, d):
+    return quality.failures(table(spark, d, "crawl_pages"), ["site"], "page_id", "success")
+
+
+@query
+def batch_files(spark, d):
+    """Segments written in a folder for each batch and read back: rows of each."""
+    s = buckets.by_aligned_range(segments(spark, d).select("row_id", "id"), 20)
+    back = buckets.write_batches(s, f"{shared_dir(spark)}/inkloom-batches-{uuid.uuid4().hex}")
+    return back.groupBy("batch_name").agg(F.count("*").alias("n_rows"), F.min("row_id").alias("first_row"))
+
+
+def segment_files(spark, d) -> DataFrame:
+    """path, content of the YAML files of each book's chapters, one of a leading ``---`` for every other, and files that are none."""
+    s = segments(spark, d).withColumn("chapter", ids.anchored_chapter(F.col("id"))).where("chapter is not null")
+    s = s.select("book", "chapter", "ord", "row_id", writers.segment_yaml("id", "title", "content").alias("entry"))
+    whole = s.groupBy("book", "chapter").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "row_id", "entry"))), lambda x: x["entry"]), "").alias("text"))
+    text = F.concat(F.when(F.col("chapter") % 2 == 0, "---\n").otherwise(""), F.col("text"))
+    good = whole.select(F.concat("book", F.lit("/"), "chapter", F.lit(".yaml")).alias("path"), F.encode(text, "UTF-8").alias("content"))
+    return good.unionByName(table(spark, d, "books").select(F.concat("book", F.lit("/bad.yaml")).alias("path"), F.encode(F.lit("no list\n of maps"), "UTF-8").alias("content")))
+
+
+@query
+def segment_files_read(spark, d):
+    """Segments as files of their chapters and read again; files that aren't lists of segments are skipped."""
+    return readers.segments(segment_files(spark, d), strict=False)
+
+
+@query
+def segment_files_strict(spark, d):
+    return readers.segments(segment_files(spark, d).where("not endswith(path, 'bad.yaml')"), strict=True).groupBy("path").agg(F.count("*").alias("n_rows"), F.max("ord").alias("last"))
+
+
+@query
+def raw_texts(spark, d):
+    """Documents as files in four encodings and read again."""
+    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    code = F.element_at(F.array(*map(F.lit, ("utf-16", "gbk", "utf-8-sig", "utf-8"))), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    raw = writers.encoded(F.col("text"), code)
+    r = readers.texts(docs.select(F.col("doc_id").cast("string").alias("path"), raw.alias("content")))
+    return r.select(F.col("path").cast("long").alias("doc_id"), F.length(F.regexp_replace("text", "^\ufeff+", "")).alias("n"), F.md5(F.regexp_replace("text", "^\ufeff+", "")).alias("hash"))
+
+
+@query
+def scanned_files(spark, d):
+    """Documents' paths as a scanned folder: without a folder, a name, short files and those of no pattern; with content type."""
+    f = table(spark, d, "documents").select(F.concat(F.lit("file:/data/a.b/"), "path").alias("path"), F.col("n_chars").alias("length"))
+    return readers.pruned(f, "/data/a.b", ("scanroom",), ("1.txt",), 200, ("*.txt", "*.md"), {"WebNovel": "yunji_raw"}).select("rel_path", "length", "content_type")
+
+
+@query
+def latest_file(spark, d):
+    """The newest document of all, and one that is named."""
+    f = table(spark, d, "documents").select("path", F.col("crawled_at").alias("modificationTime"))
+    return readers.latest(f).unionByName(readers.latest(f, "named.log"))
+
+
+def catalog_files(spark, d) -> DataFrame:
+    """path, text of JSON catalogs: each book's entries by hundreds, and malformed ones."""
+    c = table(spark, d, "chapter_catalog").select("book", "cat_id", F.expr("cat_id div 100").alias("page"), "chapter_num", "title", "url")
+    items = F.transform(F.array_sort(F.collect_list(F.struct("cat_id", "chapter_num", "title", "url"))), lambda x: F.struct(x["chapter_num"].alias("index"), x["title"].alias("title"), x["url"].alias("url")))
+    good = c.groupBy("book", "page").agg(F.to_json(items).alias("text")).select(F.concat("book", F.lit("/"), "page", F.lit(".json")).alias("path"), "text")
+    return good.unionByName(table(spark, d, "books").select(F.concat("book", F.lit("/bad.json")).alias("path"), F.lit('[{"index": ').alias("text")))
+
+
+@query
+def catalog_files_read(spark, d):
+    return readers.catalog(catalog_files(spark, d))
+
+
+@query
+def catalog_titles(spark, d):
+    return readers.ground_truth(catalog_files(spark, d))
+
+
+@query
+def log_files_read(spark, d):
+    """Log lines as the text of each file and hundred lines, and read again."""
+    g = table(spark, d, "request_log").where("line is not null").select("log_file", F.expr("log_id div 100").alias("part"), "log_id", "line")
+    text = g.groupBy("log_file", "part").agg(F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("log_id", "line"))), lambda x: x["line"]), "\n"), F.lit("\n")).alias("text"))
+    return readers.lines_of(text.select(F.concat("log_file", F.lit("/"), "part").alias("path"), "text"))
+
+
+@query
+def book_files(spark, d):
+    """An EPUB of each book's chapters by tens, and what its entries hold when it is read again."""
+    s = reshape.merge_chapters(segments(spark, d), ["book"]).select("book", "chapter", "title", T.clean_text(F.col("content")).alias("content"))
+    part = F.concat("book", F.lit("_"), F.expr("chapter div 10"))
+    books = writers.epubs(s.select(part.alias("part"), F.col("book").alias("book_title"), "title", "content", F.col("chapter").alias("position")), "part")
+    return readers.epub_texts(books).select("epub", "entry", "title", F.size("paragraphs").alias("n_paragraphs"), F.md5(F.array_join("paragraphs", "\n")).alias("hash"))
+
+
+@query
+def interleaved_books(spark, d):
+    """Bilingual chapters as EPUB entries with faded paragraphs, and the paragraphs read again."""
+    b = table(spark, d, "bilingual").where("content is not null")
+    return readers.epub_chapters(writers.interleaved_epubs(b.select("bil_id", "lang", "content"))).select("epub", "entry", F.size("paragraphs").alias("n"), F.md5(F.array_join(F.transform("paragraphs", lambda p: F.concat(p["text"], F.lit("|"), p["style"])), "\n")).alias("hash"))
+
+
+@query
+def crawl_text(spark, d):
+    """The blocks of each book's crawl text."""
+    return writers.crawl_blocks(table(spark, d, "crawl_pages").select("page_id", "book", "chapter_num", "title", "volume", "content"), "book", ["chapter_num", "page_id"])
+
+
+@query
+def crawl_file_order(spark, d):
+    return writers.crawl_order(table(spark, d, "crawl_pages").select("page_id", "book", "chapter_num"), "book", ["page_id"])
+
+
+@query
+def sequential_text(spark, d):
+    """The blocks of each site's pages, numbered as they came."""
+    return writers.sequential_blocks(table(spark, d, "crawl_pages").select("page_id", "site", "title", "content"), "site", ["page_id"])
+
+
+@query
+def log_text(spark, d):
+    """A log written from its parsed lines: header, lines, summary."""
+    p = quality.parse_log(table(spark, d, "request_log"))
+    ts = F.coalesce(F.to_timestamp("ts"), F.to_timestamp(F.lit("2025-01-01 00:00:00")))
+    line = writers.log_line(ts, F.coalesce("id", F.lit("?")), F.coalesce(F.col("status") == "ok", F.lit(False)), F.col("in_tokens"), F.col("out_tokens"), F.col("error"))
+    b = writers.log_blocks("=== log ===", p.select("log_id", line.alias("line"), (F.col("status") == "ok").alias("ok"), "in_tokens", "out_tokens"), ["log_id"])
+    return b.select("part", F.col("at.log_id").alias("log_id"), "block")
+
+
+@query
+def backup_names(spark, d):
+    return table(spark, d, "books").select("book", writers.backup_name(F.concat("book", F.lit(".yaml")), F.col("added_at")).alias("name"))
+
+
+@query
+def all_texts(spark, d):
+    """Segments and translations, one list after the other."""
+    return reshape.together(segments(spark, d).select(F.col("row_id").alias("n"), "book", "id"), table(spark, d, "translations").select(F.col("tr_id").alias("n"), "id", "book"))
+
+
 def queries() -> dict[str, Query]:
     return dict(FOUND)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in SQL.items() if k in FOUND}
+    return {k: v for k, v in (SQL | SQL_IO).items() if k in FOUND}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -11,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkloom.operators.classify import content_type
 from inkloom.sources.blocks import parse_segments
 
 # Encodings in the order in which they are tried.
@@ -36,15 +38,21 @@ def files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool
     return spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", pattern).load(folder)
 
 
-def pruned(found: DataFrame, root: str, exclude_folders: tuple[str, ...] = (), exclude_files: tuple[str, ...] = (), least: int = 0) -> DataFrame:
-    """With rel_path; without files in excluded folders, excluded names, and those smaller than ``least``."""
-    base = root.rstrip("/").removeprefix("file:").replace("//", "/")
-    rel = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), f"^{base}/", "")
-    out = found.withColumn("rel_path", rel).where(F.col("length") >= least)
+def pruned(found: DataFrame, root: str, exclude_folders: tuple[str, ...] = (), exclude_files: tuple[str, ...] = (), least: int = 0, patterns: tuple[str, ...] = ("*",), subfolders: dict[str, str] | None = None) -> DataFrame:
+    """With rel_path and content_type; without files in excluded folders, excluded names, those of no pattern and those smaller than ``least``.
+
+    ``subfolders`` names the folder of each content type.
+    """
+    base = F.lit("/" + root.removeprefix("file:").strip("/") + "/")
+    path = F.regexp_replace("path", "^file:/+", "/")
+    out = found.withColumn("rel_path", F.when(path.startswith(base), F.substring(path, F.length(base) + 1, F.length(path))).otherwise(path)).where(F.col("length") >= least)
     name = F.element_at(F.split("rel_path", "/"), -1)
     for x in exclude_folders:
         out = out.where(~F.array_contains(F.slice(F.split("rel_path", "/"), F.lit(1), F.size(F.split("rel_path", "/")) - 1), x))
-    return out.where(~name.isin(*exclude_files)) if exclude_files else out
+    kept = F.lit(False)
+    for x in patterns:
+        kept = kept | name.rlike("^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in x) + "$")
+    return out.where(kept & ~name.isin(*exclude_files) if exclude_files else kept).withColumn("content_type", content_type(F.col("rel_path"), subfolders or {}))
 
 
 def texts(found: DataFrame) -> DataFrame:
@@ -132,10 +140,67 @@ def epub_chapters(found: DataFrame) -> DataFrame:
     return found.select("path", "content").mapInArrow(run, "epub string, entry string, position int, paragraphs array<struct<text: string, style: string>>")
 
 
-def catalog(spark: SparkSession, path: str) -> DataFrame:
-    """index, title, url of a JSON catalog, the last entry of an index; malformed files give no rows."""
-    df = spark.read.schema("index int, title string, url string").option("multiLine", True).option("mode", "DROPMALFORMED").json(path).withColumn("_n", F.monotonically_increasing_id())
-    return df.where("index is not null").groupBy("index").agg(F.max_by(F.struct("title", "url"), "_n").alias("v")).select("index", "v.title", "v.url")
+class _Chapter(HTMLParser):
+    """The h1 and the p elements of an entry."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.at, self.title, self.out = "", "", []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("h1", "p"):
+            self.at = tag
+            self.out += [""] * (tag == "p")
+        elif tag == "br" and self.at == "p":
+            self.out[-1] += "\n"
+
+    def handle_endtag(self, tag):
+        if tag == self.at:
+            self.at = ""
+
+    def handle_data(self, data):
+        if self.at == "h1":
+            self.title += data
+        elif self.at == "p":
+            self.out[-1] += data
+
+
+def epub_texts(found: DataFrame) -> DataFrame:
+    """epub, entry, title, paragraphs of the chapters of EPUB files (path, content) that writers.epubs makes."""
+    schema = pa.schema([("epub", pa.string()), ("entry", pa.string()), ("title", pa.string()), ("paragraphs", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                rows = []
+                with zipfile.ZipFile(io.BytesIO(raw)) as z:
+                    for n in sorted(n for n in z.namelist() if n.endswith(".xhtml") and not any(w in n.rsplit("/", 1)[-1].lower() for w in NO_CHAPTER)):
+                        c = _Chapter()
+                        c.feed(z.read(n).decode("utf-8", "replace"))
+                        rows.append({"epub": path, "entry": n, "title": c.title, "paragraphs": c.out})
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return found.select("path", "content").mapInArrow(run, "epub string, entry string, title string, paragraphs array<string>")
+
+
+def json_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, text of JSON files, one row a file."""
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+
+
+def _entries(found: DataFrame, fields: str) -> DataFrame:
+    return found.select("path", F.posexplode(F.from_json("text", f"array<struct<{fields}>>")).alias("at", "e")).select("path", (F.col("at") + 1).alias("position"), "e.*")
+
+
+def catalog(found: DataFrame) -> DataFrame:
+    """path, index, title, url of JSON catalogs (path, text), the last entry of an index; malformed files give no rows."""
+    df = _entries(found, "index:int,title:string,url:string").where("index is not null")
+    return df.groupBy("path", "index").agg(F.max_by(F.struct("title", "url"), "position").alias("v")).select("path", "index", "v.title", "v.url")
+
+
+def ground_truth(found: DataFrame) -> DataFrame:
+    """path, position (from 1), title of JSON catalogs (path, text) in file order; malformed files give no rows."""
+    return _entries(found, "title:string").select("path", "position", "title")
 
 
 def catalog_links(entries: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -155,6 +220,11 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.input_file_name().alias("log_file"), F.col("value").alias("line"))
 
 
+def lines_of(found: DataFrame) -> DataFrame:
+    """path, line_no (from 1), line of texts (path, text); a line feed at the end opens no line."""
+    return found.select("path", F.posexplode(F.split(F.regexp_replace("text", r"\n\z", ""), "\n")).alias("i", "line")).select("path", (F.col("i") + 1).alias("line_no"), "line")
+
+
 def latest(found: DataFrame, explicit: str | None = None, but: Column | None = None) -> DataFrame:
     """The path of the newest file, or ``explicit`` unless that is LATEST or empty."""
     if explicit and explicit.upper() != "LATEST":

@@ -15,25 +15,43 @@ from collections.abc import Callable
 from html import escape
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.functions.text import paragraphs_html, xml_clean
+from inkloom.operators.ranks import positions, previous
+from inkloom.runtime import shared_dir
 from inkloom.sources.blocks import dump_segments
 
 
 def _put(folder: str, name: str, data: bytes) -> str:
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, re.sub(r"[^\w\-.]", "_", name))
+    """Writes a file through the file system that the folder's address names."""
+    fs, base = FileSystem.from_uri(re.sub("^s3a:", "s3:", folder) if "://" in folder else f"file://{os.path.abspath(folder)}")
+    fs.create_dir(base, recursive=True)
+    path = f"{base.rstrip('/')}/{re.sub(r'[^\w\-.]', '_', name)}"
     part = f"{path}.{uuid.uuid4().hex}.part"
-    with open(part, "wb") as f:
+    with fs.open_output_stream(part) as f:
         f.write(data)
-    os.replace(part, path)
+    fs.move(part, path)
     return path
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """``folder``, unless it is a machine's own in a session of several machines."""
+    own = folder.startswith("file:") or "://" not in folder
+    if own and not spark.sparkContext.master.startswith("local") and not folder.startswith(shared_dir(spark)):
+        raise ValueError(f"{folder} isn't a folder that all executors share: give the address of one (hdfs://, s3a://, gs://)")
+    return folder
+
+
 def grouped_files(df: DataFrame, keys: list[str], folder: str, name: Callable[[tuple], str], make: Callable[[pd.DataFrame], bytes]) -> DataFrame:
-    """Writes one file for each group of ``keys`` into a shared folder: file, status, reason, n_rows. Lazy, like any DataFrame."""
+    """Writes one file for each group of ``keys`` into a shared folder: file, status, reason, n_rows. Lazy, like any DataFrame.
+
+    A group is one file, so it must fit into a task: choose keys of bounded groups, such as a chapter or a batch.
+    """
+    folder = _shared(df.sparkSession, folder)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         try:
@@ -45,6 +63,32 @@ def grouped_files(df: DataFrame, keys: list[str], folder: str, name: Callable[[t
     return df.groupBy(*keys).applyInPandas(run, "file string, status string, reason string, n_rows long")
 
 
+def encoded(text: Column, encoding: Column) -> Column:
+    """The bytes of a text in a named encoding, in UTF-8 where that lacks one of its characters; null stays null."""
+
+    @F.arrow_udf("binary")
+    def made(texts: pa.Array, names: pa.Array) -> pa.Array:
+        out = []
+        for t, e in zip(texts.to_pylist(), names.to_pylist()):
+            try:
+                out.append(None if t is None else t.encode(e))
+            except UnicodeEncodeError:
+                out.append(t.encode("utf-8"))
+        return pa.array(out, pa.binary())
+
+    return made.asNondeterministic()(text, encoding)
+
+
+def segment_yaml(*columns: str) -> Column:
+    """A row as an entry of a segment file: its columns as keys, in order. A file is its entries, one after another."""
+
+    @F.arrow_udf("string")
+    def dumped(*cols: pa.Array) -> pa.Array:
+        return pa.array([dump_segments([dict(zip(columns, row))]) for row in zip(*(c.to_pylist() for c in cols))], pa.string())
+
+    return dumped.asNondeterministic()(*columns)
+
+
 def write_segments(df: DataFrame, keys: list[str], folder: str, order: str = "ord") -> DataFrame:
     """A YAML file of id, title and content for each key."""
     def make(pdf: pd.DataFrame) -> bytes:
@@ -73,11 +117,7 @@ def write_json_files(chapters: DataFrame, keys: list[str], folder: str) -> DataF
 STYLE = "body{margin:5%;line-height:1.6} h1{text-align:center} p{text-indent:1.5em;margin:.4em 0}"
 
 
-def write_epub(chapters: DataFrame, key: str, folder: str, language: str = "vi") -> DataFrame:
-    """An EPUB for each key from book_title, title, content, position; a book without text is an error."""
-    body = paragraphs_html(xml_clean(F.col("content")))
-    ready = chapters.select(key, "book_title", F.coalesce(xml_clean(F.col("title")), F.lit("")).alias("title"), body.alias("body"), "position")
-
+def _epub(key: str, language: str) -> Callable[[pd.DataFrame], bytes]:
     def make(pdf: pd.DataFrame) -> bytes:
         pdf = pdf[pdf["body"].fillna("") != ""].sort_values("position")
         if pdf.empty:
@@ -99,20 +139,101 @@ def write_epub(chapters: DataFrame, key: str, folder: str, language: str = "vi")
                 z.writestr(f"OEBPS/{i}.xhtml", page.format(t=escape(t), b=f"<h1>{escape(t)}</h1>{b}"))
         return out.getvalue()
 
-    return grouped_files(ready, [key], folder, lambda k: f"{k[0]}.epub", make)
+    return make
+
+
+def _epub_rows(chapters: DataFrame, key: str) -> DataFrame:
+    body = paragraphs_html(xml_clean(F.col("content")))
+    return chapters.select(key, "book_title", F.coalesce(xml_clean(F.col("title")), F.lit("")).alias("title"), body.alias("body"), "position")
+
+
+def epubs(chapters: DataFrame, key: str, language: str = "vi") -> DataFrame:
+    """path, content of an EPUB for each key from book_title, title, content, position; a book without text has none.
+
+    A book is one file, so it must fit into a task; give volumes of bounded size as keys.
+    """
+    make = _epub(key, language)
+
+    def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if (pdf["body"].fillna("") == "").all():
+            return pd.DataFrame({"path": [], "content": []})
+        return pd.DataFrame({"path": [f"{k[0]}.epub"], "content": [make(pdf)]})
+
+    return _epub_rows(chapters, key).groupBy(key).applyInPandas(run, "path string, content binary")
 
 
-def crawl_text(chapters: DataFrame, key: str, order: list[str], start: int = 1) -> DataFrame:
-    """key, text of a crawl: a header when it begins at 1, the volume where it changes, each chapter with its heading."""
-    w = Window.partitionBy(key).orderBy(*order)
-    v = F.nullif(F.trim(F.coalesce("volume", F.lit(""))), F.lit(""))
-    last = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    mark = F.when(v.isNotNull() & ~v.eqNullSafe(last), F.concat(v, F.lit("\n\n"))).otherwise("")
-    body = F.when(F.coalesce("content", F.lit("")) == "", F.lit("(empty)")).otherwise(F.col("content"))
-    rows = chapters.withColumn("_b", F.concat(mark, F.lit("Chương "), F.col("chapter_num"), F.lit(": "), F.coalesce("title", F.lit("")), F.lit("\n"), body, F.lit("\n\n")))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "_b"))), lambda x: x["_b"]), "")
-    head = F.concat(F.lit("=== "), F.col(key), F.lit(" ===\n\n")) if start == 1 else F.lit("")
-    return rows.groupBy(key).agg(text.alias("_t")).select(key, F.concat(head, "_t").alias("text"))
+def write_epub(chapters: DataFrame, key: str, folder: str, language: str = "vi") -> DataFrame:
+    """An EPUB file for each key from book_title, title, content, position; a book without text is an error."""
+    return grouped_files(_epub_rows(chapters, key), [key], folder, lambda k: f"{k[0]}.epub", _epub(key, language))
+
+
+def interleaved_epubs(chapters: DataFrame) -> DataFrame:
+    """path, content of an EPUB for each chapter (bil_id, lang, content): its lines as paragraphs, Chinese faded."""
+
+    @F.arrow_udf("binary")
+    def zipped(langs: pa.Array, texts: pa.Array) -> pa.Array:
+        out = []
+        for lang, text in zip(langs.to_pylist(), texts.to_pylist()):
+            style = ' style="opacity:0.4"' if lang == "zh" else ""
+            lines = "".join(f"<p{style}>{escape(x)}</p>" for x in (text or "").split("\n"))
+            raw = io.BytesIO()
+            with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("item/xhtml/p-002.xhtml", f'<html><body><p>out</p><div class="main"><div>{lines}</div></div></body></html>')
+                z.writestr("item/nav.xhtml", "<p>x</p>")
+            out.append(raw.getvalue())
+        return pa.array(out, pa.binary())
+
+    return chapters.select(F.concat(F.col("bil_id").cast("string"), F.lit(".epub")).alias("path"), zipped.asNondeterministic()("lang", "content").alias("content"))
+
+
+# Fixed value: what stands in place of a chapter without text.
+NO_TEXT = "(Không có nội dung)"
+
+
+def crawl_blocks(chapters: DataFrame, key: str, order: list[str], start: int = 1) -> DataFrame:
+    """key, position, block of a crawl's text: a header (position 0) when it begins at 1, the volume where it changes, each chapter with its heading.
+
+    ``order`` tells rows of a key apart. Positions and changes are found on slim
+    rows; contents are joined to them and never sorted in one task.
+    """
+    slim = chapters.select(key, *order, F.nullif(F.trim(F.coalesce("volume", F.lit(""))), F.lit("")).alias("_v"))
+    at = positions(slim.drop("_v"), [key], order)
+    new = previous(slim.where("_v is not null"), [key], order, "_v", "_last").where(~F.col("_v").eqNullSafe(F.col("_last"))).select(key, *order, F.concat(F.lit("\n"), "_v", F.lit(":\n")).alias("_mark"))
+    rows = chapters.join(at, [key, *order]).join(new, [key, *order], "left")
+    head = F.concat(F.lit("\nChương "), F.coalesce(F.col("chapter_num").cast("string"), F.lit("")), F.when(F.coalesce("title", F.lit("")) != "", F.concat(F.lit(": "), "title")).otherwise(":"))
+    body = F.when(F.coalesce("content", F.lit("")) != "", F.concat(F.lit("\n"), "content", F.lit("\n"))).otherwise("")
+    blocks = rows.select(key, "position", F.concat(F.coalesce("_mark", F.lit("")), head, body).alias("block"))
+    if start != 1:
+        return blocks
+    return chapters.select(key).distinct().select(key, F.lit(0).alias("position"), F.concat(F.lit("=== "), F.col(key), F.lit(" ===\n\n")).alias("block")).unionByName(blocks)
+
+
+def crawl_order(chapters: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The rows of a crawl's segment file with their position: by chapter number, then as they came."""
+    at = positions(chapters.select(key, "chapter_num", *order), [key], ["chapter_num", *order])
+    return chapters.join(at.drop("chapter_num"), [key, *order])
+
+
+def sequential_blocks(chapters: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """key, position, block: chapters numbered in order, each with its heading, NO_TEXT for those without text."""
+    at = positions(chapters.select(key, *order), [key], order)
+    body = F.when(F.coalesce("content", F.lit("")) == "", NO_TEXT).otherwise(F.col("content"))
+    return chapters.join(at, [key, *order]).select(key, "position", F.concat(F.lit("Chapter "), "position", F.lit(": "), F.coalesce("title", F.lit("")), F.lit("\n"), body, F.lit("\n\n")).alias("block"))
+
+
+def text_of_blocks(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, text of blocks: for texts that fit into a row. Larger ones are written by write_blocks."""
+    return blocks.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "block"))), lambda x: x["block"]), "").alias("text"))
+
+
+def write_blocks(blocks: DataFrame, keys: list[str], folder: str, start: int = 1) -> None:
+    """Writes texts of any size: sorted by range of (keys, position), a folder for each key, whose part files in order are the text.
+
+    A block that doesn't end in a line feed gets one. A run that begins above 1 is appended.
+    """
+    ready = blocks.withColumn("value", F.regexp_replace("block", r"\n\z", ""))  # the writer ends each row with a line feed
+    parts = ready.repartitionByRange(*keys, "position").sortWithinPartitions(*keys, "position")
+    parts.select(*keys, "value").write.mode("append" if start > 1 else "overwrite").partitionBy(*keys).text(folder)
 
 
 def log_line(ts: Column, segment: Column, ok: Column, tokens_in: Column, tokens_out: Column, error: Column) -> Column:
@@ -122,21 +243,20 @@ def log_line(ts: Column, segment: Column, ok: Column, tokens_in: Column, tokens_
     return F.concat(head, F.when(ok, F.concat(F.lit("THÀNH CÔNG"), used)).otherwise(F.concat(F.lit("THẤT BẠI - Lỗi: "), F.coalesce(error, F.lit("")))))
 
 
-def sequential_text(chapters: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """key, text: chapters numbered in order, each with its heading, ``(empty)`` for those without text."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    body = F.when(F.coalesce("content", F.lit("")) == "", F.lit("(empty)")).otherwise(F.col("content"))
-    rows = chapters.withColumn("_n", n).withColumn("_b", F.concat(F.lit("Chapter "), F.col("_n"), F.lit(": "), F.coalesce("title", F.lit("")), F.lit("\n"), body, F.lit("\n\n")))
-    return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_b"))), lambda x: x["_b"]), "").alias("text"))
-
-
 def backup_name(name: Column, ts: Column) -> Column:
     """The name under which a file is kept before it is written anew."""
     return F.concat(F.date_format(ts, "ddMMyy_HHmm"), F.lit("_backup_"), name)
 
 
-def log_text(header: str, lines: DataFrame, order: list[str]) -> DataFrame:
-    """text of a log: header, lines in order, and a summary of its requests (line, ok, in_tokens, out_tokens)."""
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "line"))), lambda x: x["line"]), "\n")
-    summary = F.concat(F.lit("\nRequests: "), F.count("*"), F.lit(", failed: "), F.count_if(~F.col("ok")), F.lit(", tokens in: "), F.coalesce(F.sum("in_tokens"), F.lit(0)), F.lit(", out: "), F.coalesce(F.sum("out_tokens"), F.lit(0)), F.lit("\n"))
-    return lines.agg(F.concat(F.lit(header + "\n"), body, summary).alias("text"))
+def log_blocks(header: str, lines: DataFrame, order: list[str]) -> DataFrame:
+    """part, at, block of a log: its header (part 0), its lines (part 1, in order) and a summary of its requests (part 2).
+
+    lines: ``order`` columns, line, ok, in_tokens, out_tokens. Nothing is gathered; sort by part and at to write it.
+    """
+    body = lines.select(F.lit(1).alias("part"), F.struct(*order).alias("at"), F.concat("line", F.lit("\n")).alias("block"))
+    kind = body.schema["at"].dataType.simpleString()
+    none = F.lit(None).cast(kind)
+    head = lines.sparkSession.range(1).select(F.lit(0).alias("part"), none.alias("at"), F.lit(header + "\n").alias("block"))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    end = lines.agg(F.concat(F.lit("\nRequests: "), F.count("*"), F.lit(", failed: "), F.count_if(~F.coalesce("ok", F.lit(False))), F.lit(", tokens in: "), count("in_tokens"), F.lit(", out: "), count("out_tokens"), F.lit("\n")).alias("block"))
+    return head.unionByName(body).unionByName(end.select(F.lit(2).alias("part"), none.alias("at"), "block"))

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from inkloom.operators.pack import pack_lines
 from inkloom.functions.text import split_lines, strip_u
+from inkloom.sources.readers import texts
 
 
 def text_stream(spark: SparkSession, folder: str, per_trigger: int = 100) -> DataFrame:
@@ -19,9 +20,9 @@ def text_stream(spark: SparkSession, folder: str, per_trigger: int = 100) -> Dat
 
 
 def packed_stream(found: DataFrame, most: int = 2000) -> DataFrame:
-    """path, segment, content, n_chars: each file is one row, so no state is carried between batches."""
-    lines = F.filter(F.transform(split_lines(F.decode("content", "UTF-8")), strip_u), lambda x: x != "")
-    return pack_lines(found.select("path", lines.alias("lines")), ["path"], "lines", most)
+    """path, segment, content, n_chars: each file, in any encoding of readers.texts, is one row, so no state is carried between batches."""
+    lines = F.filter(F.transform(split_lines(F.col("text")), strip_u), lambda x: x != "")
+    return pack_lines(texts(found).select("path", lines.alias("lines")), ["path"], "lines", most)
 
 
 def write_batches(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:

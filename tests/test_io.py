@@ -79,10 +79,16 @@ def test_chapter_files_and_layouts(spark, tmp_path):
     writers.write_chapter_texts(reshape.text_chapters(s, ["book"]), ["book"], str(tmp_path / "t")).collect()
     assert open(tmp_path / "t" / "b_00001.txt").read() == "Chương 1: T\n\nx\n\ny\n\n"
     crawl = spark.createDataFrame([("b", 1, "V1", "A", "x"), ("b", 2, "V1", None, ""), ("b", 3, "V2", "C", "z")], "book string, chapter_num int, volume string, title string, content string")
-    assert writers.crawl_text(crawl, "book", ["chapter_num"]).first().text == "=== b ===\n\nV1\n\nChương 1: A\nx\n\nChương 2: \n(empty)\n\nV2\n\nChương 3: C\nz\n\n"
-    assert writers.sequential_text(crawl, "book", ["chapter_num"]).first().text.startswith("Chapter 1: A\nx\n\nChapter 2: \n(empty)\n\n")
+    blocks = writers.crawl_blocks(crawl, "book", ["chapter_num"])
+    whole = "=== b ===\n\n\nV1:\n\nChương 1: A\nx\n\nChương 2:\nV2:\n\nChương 3: C\nz\n"
+    assert writers.text_of_blocks(blocks, ["book"]).first().text == whole
+    assert writers.text_of_blocks(writers.crawl_blocks(crawl.where("chapter_num > 2"), "book", ["chapter_num"], start=3), ["book"]).first().text == "\nV2:\n\nChương 3: C\nz\n"
+    writers.write_blocks(blocks, ["book"], str(tmp_path / "crawl"))
+    parts = sorted((tmp_path / "crawl" / "book=b").glob("part-*"))
+    assert "".join(p.read_text() for p in parts) == whole.replace("Chương 2:", "Chương 2:\n")
+    assert writers.text_of_blocks(writers.sequential_blocks(crawl, "book", ["chapter_num"]), ["book"]).first().text.startswith("Chapter 1: A\nx\n\nChapter 2: \n(Không có nội dung)\n\n")
     log = spark.createDataFrame([(1, "l1", True, 2, 3), (2, "l2", False, None, None)], "n int, line string, ok boolean, in_tokens long, out_tokens long")
-    assert writers.log_text("h", log, ["n"]).first().text == "h\nl1\nl2\nRequests: 2, failed: 1, tokens in: 2, out: 3\n"
+    assert "".join(r.block for r in writers.log_blocks("h", log, ["n"]).orderBy("part", "at").collect()) == "h\nl1\nl2\n\nRequests: 2, failed: 1, tokens in: 2, out: 3\n"
     assert spark.sql("select timestamp'2025-01-02 10:00:00' t").select(writers.backup_name(F.lit("a.yaml"), F.col("t"))).first()[0] == "020125_1000_backup_a.yaml"
     line = spark.sql("select timestamp'2025-01-01 10:00:00' t").select(writers.log_line(F.col("t"), F.lit("a"), F.lit(True), F.lit(1), F.lit(2), F.lit(None).cast("string"))).first()[0]
     assert line == "[2025-01-01 10:00:00] a: THÀNH CÔNG | Tokens: In=1, Out=2"
@@ -90,7 +96,8 @@ def test_chapter_files_and_layouts(spark, tmp_path):
 
 def test_catalogs(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps([{"index": 2, "title": "a", "url": "u"}, {"index": 2, "title": "b", "url": "v"}, {"index": 1, "title": "c", "url": "w"}]))
-    assert sorted(map(tuple, readers.catalog(spark, str(tmp_path / "c.json")).collect())) == [(1, "c", "w"), (2, "b", "v")]
+    assert sorted(map(tuple, readers.catalog(readers.json_files(spark, str(tmp_path / "c.json"))).drop("path").collect())) == [(1, "c", "w"), (2, "b", "v")]
+    assert [tuple(r)[1:] for r in readers.ground_truth(readers.json_files(spark, str(tmp_path / "c.json"))).orderBy("position").collect()] == [(1, "a"), (2, "b"), (3, "c")]
     df = spark.createDataFrame([("b", 1, "第3章 x", "u", ["u", "v"]), ("b", 2, "第3章 y", "w", None), ("b", 3, None, "", [])], "book string, cat_id long, title string, url string, urls array<string>")
     assert [(r.at, r.link) for r in readers.catalog_links(df, ["cat_id"], []).orderBy("cat_id", "at").collect()] == [(0, "u"), (1, "v"), (0, "w")]
     assert [(r.number, r.title) for r in readers.catalog_by_title(df, ["book"], "cat_id").collect()] == [(3, "第3章 y")]
@@ -99,10 +106,12 @@ def test_catalogs(spark, tmp_path):
 def test_streaming(spark, tmp_path, data):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("l1\n\nl2\n")
+    (tmp_path / "in" / "g.txt").write_bytes("第一章 风起云涌，少年出山。".encode("gbk"))
+    (tmp_path / "in" / "u.txt").write_bytes("Chương một".encode("utf-16"))
     got = []
-    q = stream.write_batches(stream.packed_stream(stream.text_stream(spark, str(tmp_path / "in")), 3), str(tmp_path / "ck"), lambda df, n: got.extend((r.segment, r.content) for r in df.collect()))
+    q = stream.write_batches(stream.packed_stream(stream.text_stream(spark, str(tmp_path / "in")), 12), str(tmp_path / "ck"), lambda df, n: got.extend((r.segment, r.content) for r in df.collect()))
     q.awaitTermination(60)
-    assert sorted(got) == [(0, "l1"), (1, "l2")]
+    assert sorted(got) == [(0, "Chương một"), (0, "l1\n\nl2"), (0, "第一章 风起云涌，少年出山。")]
     os.makedirs(tmp_path / "ev")
     spark.read.parquet(f"{data}/events.parquet").write.mode("overwrite").parquet(str(tmp_path / "ev"))
     ev = stream.event_counts(spark.readStream.schema(spark.read.parquet(str(tmp_path / "ev")).schema).parquet(str(tmp_path / "ev")))

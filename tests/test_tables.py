@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkloom.functions import ids
-from inkloom.operators import buckets, filters, html, incremental, quality, reconcile, reshape, transform
+from inkloom.operators import buckets, filters, html, incremental, quality, ranks, reconcile, reshape, transform
 
 
 def seg(spark, rows):
@@ -86,24 +86,35 @@ def test_reconciling(spark):
     assert [r.title for r in reconcile.merge_titles(seg(spark, [("Chapter_1_Segment_1", "o", ""), ("x", "o", "")]), titles, ids.chapter_key(F.col("id")), ["book"]).orderBy("ord").collect()] == ["new", "o"]
 
 
-def test_html_by_site(spark):
-    page = "<html><head><script>var chaptername='T'; next_page: 'p2.html'</script></head><h1 class=\"hide720\">T</h1><div class=\"txtnav\"><h1>T</h1><div class=\"txtinfo\">i</div>T<br>one&nbsp;x<br/><script>\"</p>\"</script>two</div>"
-    r = spark.range(1).select(html.shuba(F.lit(page), F.lit("https://h/a/p1.html")).alias("r")).first().r
-    assert (r.title, r.content, r.next_url, r.success) == ("T", "'one x\n\ntwo", "https://h/a/p2.html", True)
-    cz = "<div class='name'>N</div><div class=\"content\">a<br>b</div><a class=\"next-chapter\" href=\"//h/2\">n</a>"
-    r = spark.range(1).select(html.extract(F.lit(cz), F.lit("https://h/1"), F.lit("czbooks")).alias("r"), html.extract(F.lit(cz), F.lit("u"), F.lit("no")).alias("none")).first()
-    assert (r.r.title, r.r.content, r.r.next_url, r.none) == ("N", "a\nb", "https://h/2", None)
-    pt = "<h1>书名 第1章</h1><a href='2.html'>下一章</a><br>　　正文<br><br>上一章<br>末</body>"
-    r = spark.range(1).select(html.piaotia(F.lit(pt), F.lit("https://h/b/1.html")).alias("r")).first().r
-    assert (r.title, r.content, r.next_url, r.success) == ("第1章", "正文\n\n末", "https://h/b/2.html", True)
-    dx = "<div id=\"ChapterTitle\">C</div><p id=\"txt_1\">He paid 2024</p><p id=\"txt_2\"> </p>"
-    r = spark.range(1).select(html.dxmwx(F.lit(dx)).alias("a"), html.dxmwx(F.lit(dx), True).alias("b")).first()
-    assert (r.a.content, r.b.content) == ("He paid 2024", "He paid 2")
-    for f in (html.hjwzw, html.linovelib, html.quanben, html.zhswx):
-        assert spark.range(1).select(f(F.lit("")).alias("r")).first().r.success is False
-    li = "<h3>第1卷</h3><div id='atitle'>A</div><div id=\"acontent\"><p>x</p><p> </p><p>y&amp;</p></div>"
-    r = spark.range(1).select(html.linovelib(F.lit(li)).alias("r")).first().r
-    assert (r.title, r.volume, r.content) == ("A", "第1卷", "x\n\ny&")
+def test_html_by_site():
+    page = "<html><head><script>var b = {chaptername: 'T', next_page: 'p2.html'}</script></head><h1 class=\"hide720\">T</h1><div class=\"txtnav\"><h1 class=\"hide720\">T</h1><div class=\"txtinfo x\"><div>i</div></div>T<br>one<br/><script>\"</p>\"</script>two<div class='keep'>in</div></div>FOOTER"
+    r = html.parse_page(page, "https://h/a/p1.html", "shuba")
+    assert r == {"title": "T", "volume": "", "content": "'one\n\ntwoin", "next_url": "https://h/a/p2.html", "success": True}
+    cz = "<div class='name'>N</div><div class=\"content\">a<div>x</div>b<br>c</div>FOOTER<a class=\"next-chapter\" href=\"//h/2\">n</a>"
+    assert html.parse_page(cz, "https://h/1", "czbooks") == {"title": "N", "volume": "", "content": "axb\nc", "next_url": "https://h/2", "success": True}
+    assert html.parse_page("<p>x</p>", "u", "czbooks")["success"] is False and html.parse_page("<p>x</p>", "u", "no") is None and html.parse_page(None, None, "tw") is None
+    pt = "<h1>书名 第1章</h1><a href='2.html'>下一章</a><div id='content'>a<br>　　正文<br><br>上一章<br>第2章<br>末<center><script>x</script></center>y<div class=\"bottomlink\">z</div></div>FOOTER"
+    assert html.parse_page(pt, "https://h/b/1.html", "piaotia") == {"title": "第1章", "volume": "", "content": "正文\n\n第2章\n\n末y", "next_url": "https://h/b/2.html", "success": True}
+    assert html.parse_page("<h1>书名 第1章</h1><div id='content'>a</div>", "u", "piaotia")["content"] == ""
+    dx = "<div id=\"ChapterTitle\">C</div><div id='Lab_Contents'><p id=\"txt_1\">He paid 2024</p><p id=\"txt_2\"> </p><p>AD</p></div><p id='txt_9'>FOOTER</p>"
+    assert [html.parse_page(dx, "u", "dxmwx", strict)["content"] for strict in (False, True)] == ["He paid 2024", "He paid"]
+    assert html.parse_page('<script>var ChapterTitle = "J";</script>', "u", "dxmwx")["title"] == "J"
+    li = "<h3>第1卷</h3><div id='atitle'>A</div><div id=\"acontent\"><p>x</p><p> </p><p>y&amp;</p></div><p>FOOTER</p>"
+    assert html.parse_page(li, "u", "tw") == {"title": "A", "volume": "第1卷", "content": "x\n\ny&", "next_url": None, "success": True}
+    hj = '<h1>T</h1><div style="color:red"><p>no</p></div><div style="font-size: 20px; line-height: 30px; width: 750px"><p>黃金屋</p><p><a href="/">l</a></p><p>我的超能力每周刷新 1</p><p>黃金屋 again</p></div><p>FOOTER</p>'
+    assert html.parse_page(hj, "u", "hjwzw")["content"] == "黃金屋 again"
+    assert html.parse_page("<h1 class='headline'>T</h1><div id='content'><p>no</p></div><div class='articlebody'><div id='content'><p>a</p></div><p>FOOTER</p></div>", "u", "quanben")["content"] == "a"
+    st = "<h1 class='pt10'>T</h1><div class='readcotent'>a<ins class='adsbygoogle'>AD</ins><br>STO55.COM<br>b&nbsp;c</div><a id='linkNext' href='/book/57037/'>n</a>"
+    assert html.parse_page(st, "https://sto55.com/book/57037/1.html", "sto55") == {"title": "T", "volume": "", "content": "'a\n\nb c", "next_url": "https://sto55.com/book/57037/", "success": True}
+    for site in html.PARSERS:
+        assert html.parse_page("", "u", site)["content"] == ""
+
+
+def test_neighbours_of_hot_keys(spark):
+    """Positions and previous values are the same whether a key is sorted in one task or in ranges."""
+    rows = spark.createDataFrame([("a" if i % 3 else None, (i * 7) % 50, i) for i in range(60)], "k string, o int, id int")
+    for f in (lambda most: ranks.positions(rows, ["k"], ["o", "id"], "n", most), lambda most: ranks.previous(rows, ["k"], ["o", "id"], "id", "n", most)):
+        assert sorted(map(str, f(5).collect())) == sorted(map(str, f(1000).collect()))
 
 
 def test_counters(spark):
@@ -115,7 +126,9 @@ def test_counters(spark):
     assert (r.fetches, r.n_pages, r.retries, r.n_ok, r.success_rate) == (3, 2, 1, 1, 50.0)
     st = spark.createDataFrame([("a", "success"), ("a", "error"), ("b", "skip")], "k string, status string")
     assert [r.n_rows for r in quality.status_summary(st, "k", "status").where("is_total").collect()] == [3]
-    assert list(quality.outcome(st.withColumn("ok", F.col("status") == "success"), ["k"], "status", "ok").where("k = 'a'").first().failed_names) == ["error"]
+    marked = st.withColumn("ok", F.col("status") == "success")
+    assert tuple(quality.outcome(marked, ["k"], "ok").where("k = 'a'").first()) == ("a", 1, 1)
+    assert sorted(map(tuple, quality.failures(marked, ["k"], "status", "ok").collect())) == [("a", "error"), ("b", "skip")]
 
 
 def test_transform_keeps_or_drops_failures(spark):
@@ -151,11 +164,12 @@ def test_book_pages(spark):
     p = "<div class=\"booknav2\"><h1><a>Tên</a></h1><p><a href='/author/x'>A</a></p><p><a href=\"/class/1\">Huyền</a></p></div><div class='bookimg2'><img src=\"/c.jpg\"></div><script>tags: 'a|b |'</script><div class=\"navtxt\">x<br>y&amp;</div>"
     r = spark.range(1).select(html.novel_info(F.lit(p), F.lit("https://h/b/1.html")).alias("r"), html.novel_info(F.lit(""), F.lit("u")).alias("e")).first()
     assert (r.r.title, r.r.cover, r.r.author, list(r.r.tags), r.r.synopsis) == ("Tên", "https://h/c.jpg", "A", ["a", "b", "Huyền"], "x\ny&")
-    assert (r.e.title, r.e.cover, r.e.author, list(r.e.tags)) == ("", None, None, [])
-    c = "<div id=\"catalog\"><ul><li><a href='1.html'>第1章</a></li><li><a href='2.html'>第2章</a></li></ul></div>"
+    assert (r.e.title, r.e.cover, r.e.author, list(r.e.tags)) == (None, None, None, [])
+    assert html._info(p.replace("</p></div>", "</p><p><a href='/top/1'>Top</a></p></div>"), "u")["tags"] == ["Top"]
+    c = "<div id=\"catalog\"><div><ul><li><a href='1.html'>第1章</a></li><li><a href='2.html'>第2章</a></li></ul></div></div><ul><li><a href='f'>FOOTER</a></li></ul>"
     got = spark.range(1).select(html.novel_chapters(F.lit(c), F.lit("https://h/b/"), 1).alias("r")).first().r
     assert [tuple(x) for x in got] == [(1, 1, "第1章", "https://h/b/1.html"), (2, 2, "第2章", "https://h/b/2.html")]
-    q = "<div class='newbox'><ul><li><a href='/b/1'>i</a><h3><a>the book</a></h3><div class='zxzj'><p>第9章</p></div></li></ul></div>"
+    q = "<div class='newbox'><ul><li><a href='/b/1'>i</a><h3><a imgbox='1'>i</a><a>the book</a></h3><div class='zxzj'><p>第9章</p></div></li></ul></div>"
     assert [tuple(x) for x in spark.range(1).select(html.search_results(F.lit(q), F.lit("https://h/s")).alias("r")).first().r] == [("The Book", "https://h/b/1", "Latest: 第9章")]
 
 

@@ -54,6 +54,11 @@ def test_names_and_addresses(spark, column):
     assert column(T.safe_name, ["Tên truyện: 1/2", "a-b_c.d"]) == ["Tên_truyện__1_2", "a-b_c.d"]
     assert column(T.name_key, ["Book_12", "Book12", "Book"]) == ["book", "book", "book"]
     assert column(lambda c: T.split_name(c, "yaml"), ["a", "a_seg"]) == ["a_split.yaml", "a_seg.yaml"]
+    from urllib.parse import urljoin
+
+    for base in ("https://h.x/a/b.html", "https://h.x/a/b/", "https://h.x", "http://h.x/a/b?q#f"):
+        pages = ["2.html", "/2.html", "http://o.y/3", "//o.y/3", "../2", "../../../2", "./x/../y", "..", ".", "?q=1", "#f", "", "a/./b/../c?x=../y#z", "mailto:x"]
+        assert column(lambda c: T.join_url(c, F.lit(base)), pages) == [urljoin(base, p) for p in pages]
     assert column(lambda c: T.join_url(c, F.lit("https://h.x/a/b.html")), ["2.html", "/2.html", "http://o.y/3", "//o.y/3"]) == ["https://h.x/a/2.html", "https://h.x/2.html", "http://o.y/3", "https://o.y/3"]
     assert column(T.shorten, ["x" * 50, "x" * 51]) == ["x" * 50, "x" * 47 + "..."]
     assert column(T.mask, ["short", "0123456789abcdefgh"]) == ["***", "0123456789...efgh"]
@@ -77,3 +82,8 @@ def test_id_readers_disagree_as_they_should(column):
     assert [tuple(x) for x in column(ids.parts_of, v)[:6]] == [(2, 3, 4), (None, 5, 2), (None, 7, 1), (None, None, None), (None, None, None), (None, 5, None)]
     assert column(ids.upload_key, v) == ["Chapter_3", "Chapter_5", None, None, None, None, None]
     assert [tuple(x) for x in column(ids.digits_key, v)[:6]] == [(2, 3), (5, 2), (7, 1), (0, 9), (0, 0), (0, 5)]
+
+
+def test_sentence_paragraphs(column):
+    assert column(T.sentence_paragraphs, ["一。二！”三」 四\n\n\n\n五", " \n甲。", "", None, "a。  \n"]) == ["'一。\n\n二！\n\n”三」\n\n四\n\n五", "甲。", "", None, "'a。\n"]
+    assert column(T.arabic, ["１２", "٣", "4a", None]) == ["12", "3", "4a", None]
