@@ -52,9 +52,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def broadcast_if(df: DataFrame, most: int = 100_000) -> DataFrame:
-    """``df`` marked for broadcast if it has ``most`` rows at the most, counted; else as it is, to be shuffled."""
-    return broadcast(df) if df.limit(most + 1).count() <= most else df
+def stored_bytes(df: DataFrame) -> int:
+    """What Spark takes the size of ``df`` for: of a table read from files, the size of the files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def broadcast_if(df: DataFrame, most: int = 100_000, most_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` marked for broadcast if it is small: at most ``most`` rows and ``most_bytes`` in compressed files; else to be shuffled.
+
+    It is computed once: what isn't a bare table yet is written to the shared
+    folder first, where both are known without reading it again.
+    """
+    own = df if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation" else materialize(df, "small")
+    return broadcast(own) if stored_bytes(own) <= most_bytes and own.limit(most + 1).count() <= most else own
 
 
 def spread(df: DataFrame, read: DataFrame | None = None) -> DataFrame:
