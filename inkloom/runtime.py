@@ -54,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored_bytes(df: DataFrame) -> int:
     """What Spark takes the size of ``df`` for: of a table read from files, the size of the files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_if(df: DataFrame, most: int = 100_000, most_bytes: int = 16 << 20) -> DataFrame:
