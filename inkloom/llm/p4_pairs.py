@@ -46,6 +46,7 @@ HEADING = regex.compile(r"^[\s'#*_>\"“(\[【-]*(?:第\s*[0-9０-９零〇一
 THOUGHT = regex.compile(r"<(think|thinking|thought|reasoning)>.*?(?:</\1>|$)", regex.IGNORECASE | regex.DOTALL)
 FENCE = regex.compile(r"^\s*(?:`{3,}\w*|~{3,}|[-*_=#>.…·•—]{1,}|<[^<>]{1,40}>|\[\s*\])\s*$")
 WORD = regex.compile(r"[\p{Han}]|[^\W_]+", regex.V0)
+AFTER = 5  # sound lines after a refusal, at most
 QUOTED = regex.compile(r"[“\"「『][^”\"」』]*(?:[”\"」』]|$)")
 
 
@@ -76,6 +77,48 @@ def refuses(line: str) -> bool:
     return any(True for _ in matter.iter(t))
 
 
+def refused(lines: list[str]) -> bool:
+    """Whether a response declines instead of translating: of all its lines one refuses, and hardly any that doesn't comes after it."""
+    hits = [i for i, x in enumerate(lines) if refuses(x)]
+    return bool(hits) and len(lines) - hits[0] - len(hits) <= AFTER
+
+
+# Delimiters and what closes them.
+CLOSED_BY = {"“": "”", "「": "」", "『": "』", "（": "）", "(": ")", "《": "》", "【": "】", "[": "]", "〈": "〉"}
+OPENED_BY = {b: a for a, b in CLOSED_BY.items()}
+DELIMITER = regex.compile("[" + "".join(regex.escape(c) for c in (*CLOSED_BY, *OPENED_BY)) + '"]|\\n|`{3,}')
+
+
+def left_open(text: str) -> list[str]:
+    """The delimiters of a text that are still open at its end.
+
+    A closing one also closes what was opened inside it. A quotation mark that
+    opens a paragraph inside an open quotation continues it. A straight mark
+    opens and closes within its paragraph; a fence closes the one before.
+    """
+    stack: list[str] = []
+    at = 0  # where the paragraph begins
+    for m in DELIMITER.finditer(text):
+        c = m.group()
+        if c == "\n":
+            at = m.end()
+            if '"' in stack:
+                stack.remove('"')
+        elif c[0] == "`" or c == '"':
+            mark = '"' if c == '"' else "```"
+            if mark in stack:
+                del stack[stack.index(mark) :]
+            else:
+                stack.append(mark)
+        elif c in CLOSED_BY:
+            if not (stack and stack[-1] == c == "“" and not text[at : m.start()].strip()):
+                stack.append(c)
+        elif OPENED_BY[c] in stack:
+            while stack.pop() != OPENED_BY[c]:
+                pass
+    return stack
+
+
 @lru_cache(maxsize=1)
 def _voters():
     words: dict[str, list[str]] = {}
@@ -195,8 +238,14 @@ def copied_lines(lines: list[str], source: str, langs: list[str | None], from_la
     return n
 
 
+def copied_title(title: str, source: str) -> bool:
+    """Whether the automaton of the source title covers all of a title that is about as long."""
+    a, b = (WORD.findall(x.lower()) for x in (title, source))
+    return bool(a) and 10 * len(a) >= 9 * len(b) and SuffixAutomaton(b).covered(a, len(a)) == len(a)
+
+
 def defect(field: str, text: str | None, source: str | None, target: str | None) -> str | None:
-    """The defect of a field but for cut-off text, which needs the corpus."""
+    """The defect of a field, but for text cut off outside any delimiters, which needs the corpus."""
     t = clean(text)
     if not t.strip() or is_placeholder(t):
         return "empty"
@@ -206,9 +255,7 @@ def defect(field: str, text: str | None, source: str | None, target: str | None)
         lines = own_lines(t)
         if not lines or all(is_placeholder(x) for x in lines):
             return "empty"
-    if len(lines) <= 6 and any(refuses(x) for x in lines):
-        return "refusal"
-    if len(lines) > 6 and any(refuses(x) for x in (*lines[:3], lines[-1])):
+    if refused(lines):
         return "refusal"
     source = clean(source)
     langs = [language(x) for x in lines]
@@ -216,8 +263,7 @@ def defect(field: str, text: str | None, source: str | None, target: str | None)
     from_lang = votes.most_common(1)[0][0] if votes else None
     if source and not (from_lang and from_lang == target):
         if field == "title":
-            a, b = ["".join(WORD.findall(x.lower())) for x in (t, source)]
-            if a and a == b and not (target in ("vi", "en") and from_lang is None and HEADING.match(source) is None):
+            if copied_title(t, source) and not (target in ("vi", "en") and from_lang is None and HEADING.match(source) is None):
                 return "copied"
         elif 2 * copied_lines(lines, source, langs, from_lang) > len(lines):
             return "copied"
@@ -225,7 +271,7 @@ def defect(field: str, text: str | None, source: str | None, target: str | None)
         wrong = sum(x is not None and x not in (target, from_lang) for x in langs)
         if 2 * wrong > len(langs):
             return "wrong_language"
-    return None
+    return "truncated" if field == "content" and left_open(t) else None
 
 
 def sources_of(segments: DataFrame) -> DataFrame:

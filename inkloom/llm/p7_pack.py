@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.scans import running, unit_hash
+from inkloom.runtime import broadcast_if
+
+BLOCK = 256  # ranks of one size that are matched to places at once: at most as many places meet at most as many documents
 
 
 def plan_containers(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
@@ -113,8 +116,8 @@ def pack(sizes: DataFrame, caps: DataFrame, rows_each: int = 50_000) -> DataFram
 
     Only the histograms of sizes (at most ``capacity`` rows each) and the
     patterns go through the driver; documents are matched to places by size and
-    rank, with ranks from two-level running counts over ranges of about
-    ``rows_each`` documents, so one frequent size is never sorted in one task.
+    block of ranks, with ranks from two-level running counts over ranges of about
+    ``rows_each`` documents, so one frequent size is never in one task.
     """
     spark = sizes.sparkSession
     buckets = max(16, sizes.count() // rows_each)
@@ -140,8 +143,11 @@ def pack(sizes: DataFrame, caps: DataFrame, rows_each: int = 50_000) -> DataFram
     totals_df = spark.createDataFrame(totals, "cap_name string, containers long")
 
     ranked = running(items.where("rest > 0").withColumn("u", unit_hash("doc_id", F.lit(7))).withColumn("one", F.lit(1)), ["cap_name", "rest"], "u", "one", "rank", buckets)
+    # places and documents of a size are cut into blocks of ranks: no task holds a whole size
+    step = F.lit(BLOCK)
+    blocks = places.withColumn("block", F.explode(F.sequence(F.expr(f"lo div {BLOCK}"), F.expr(f"(hi - 1) div {BLOCK}"))))
     rests = (
-        ranked.join(places, ["cap_name", "rest"]).where("rank >= lo and rank < hi")
+        ranked.withColumn("block", F.floor(F.col("rank") / step)).join(broadcast_if(blocks), ["cap_name", "rest", "block"]).where("rank >= lo and rank < hi")
         .select("cap_name", (F.col("first") + F.expr("(rank - lo) div k")).alias("container_id"), "doc_id", (F.col("full") + 1).cast("int").alias("part_no"), (F.col("full") * F.col("cap")).alias("from_token"), F.col("rest").alias("n_tokens"))
     )
     over = items.where("full > 0").withColumn("u", unit_hash("doc_id", F.lit(7)))

@@ -17,6 +17,7 @@ from inkloom.llm.grams import LINE, MARK, U64, classes, mix, tokens
 HASH_BITS = 18
 NGRAMS = 3
 SAMPLE = 3000  # labelled documents that the classifiers are fitted on, at most
+SHRINK = 40  # labelled documents that the threshold common to all subjects weighs against a subject's own
 STOPS = "。！？!?…."
 
 
@@ -110,9 +111,11 @@ def fit(texts: list[str], labels: list[list[str]], subjects: list[str], seed: in
     n-grams that tell a subject from the rest (log-odds with z above 3) are
     kept. Classifiers of documents give first scores to sentences; the
     sentences that score in documents with the label, against all sentences of
-    documents without it, train the classifiers of sentences. Last, the number
-    of sentences that makes a subject is the one with the best F1 on documents
-    that were held out from training.
+    documents without it, train the classifiers of sentences. Last, for each
+    subject the score from which a sentence counts and the number of such
+    sentences that makes a subject are those with the best F1 on documents that
+    were held out from training, shrunk to those that are best for all subjects
+    together, as a subject has few of these documents.
     """
     k = len(subjects)
     n = len(texts)
@@ -169,21 +172,29 @@ def fit(texts: list[str], labels: list[list[str]], subjects: list[str], seed: in
     size = np.sqrt(np.maximum(1, np.bincount(sr, minlength=f.sentences)))
     s = _scores(sr, sc, f.sentences, w) / size[:, None] + bias
     s[np.bincount(sr, minlength=f.sentences) == 0] = -30
-    # thresholds, on held-out documents where there are enough
+    # thresholds, on held-out documents where there are enough: one for all first, then each subject's own where that is better
     judge = held if held.sum() >= 80 else train
     yj = y[judge]
-    results = {}
-    for cut in (-1.5, -1.0, -0.5, 0.0, 0.5, 1.0):
-        count = np.stack([np.bincount(f.doc, (s[:, c] > cut), minlength=n) for c in range(k)], axis=1)[judge]
-        for least in (1, 2, 3, 4, 5):
-            p = count >= least
-            tp = (p & (yj > 0)).sum(0)
-            results[cut, least] = (tp, p.sum(0), yj.sum(0))
-    f1 = lambda r: 2 * r[0].sum() / (r[1].sum() + r[2].sum() + 1e-9)
-    cut, least = max(results, key=lambda q: (round(f1(results[q]), 4), -abs(q[0]), q[1]))
+    tries = [(cut, least) for cut in (-1.5, -1.0, -0.5, 0.0, 0.5, 1.0) for least in (1, 2, 3, 4, 5)]
+    tp, said = np.zeros((len(tries), k)), np.zeros((len(tries), k))
+    for i, (cut, least) in enumerate(tries):
+        if least == 1:
+            count = np.stack([np.bincount(f.doc, (s[:, c] > cut), minlength=n) for c in range(k)], axis=1)[judge]
+        p = count >= least
+        tp[i], said[i] = (p & (yj > 0)).sum(0), p.sum(0)
+    true = yj.sum(0)
+    f1 = lambda hits, out, have: 2 * hits / (out + have + 1e-9)
+    common = max(range(len(tries)), key=lambda i: (round(f1(tp[i].sum(), said[i].sum(), true.sum()), 4), -abs(tries[i][0]), tries[i][1]))
+    best = []
+    for c in range(k):
+        # the common threshold weighs as much as SHRINK labelled documents of average quality
+        rate_tp, rate_said = tp[:, c] + SHRINK * tp.sum(1) / max(1, true.sum()), said[:, c] + SHRINK * said.sum(1) / max(1, true.sum())
+        score = f1(rate_tp, rate_said, true[c] + SHRINK)
+        own = int(np.argmax(np.round(score, 4) - 1e-6 * np.abs(np.array([t[0] for t in tries]))))
+        best.append(tries[own if score[own] > score[common] + 1e-3 else common])
     weight = np.zeros((k, 1 << HASH_BITS), dtype=np.float32)
     weight[:, useful] = w
-    return Model(subjects, useful, weight, bias, np.full(k, cut), np.full(k, least))
+    return Model(subjects, useful, weight, bias, np.array([b[0] for b in best]), np.array([float(b[1]) for b in best]))
 
 
 def pack(m: Model) -> bytes:
@@ -221,7 +232,7 @@ def predict(m: Model, texts: list[str]) -> list[list[str]]:
 
 def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, sample: int = SAMPLE) -> bytes:
     """Packed classifiers, fitted in one task on at most ``sample`` labelled documents (the lowest hashes of doc_id)."""
-    names = [r.subject for r in subjects.where("subject is not null").select("subject").distinct().orderBy("subject").limit(1000).collect()]
+    names = [r.subject for r in subjects.where("subject is not null").select("subject").distinct().orderBy("subject").collect()]  # the list of subjects: a weight vector each is fitted in one task
     own = F.lower(F.trim("subject"))
     tagged = labels.where("subject is not null and doc_id is not null").groupBy("doc_id").agg(F.collect_set(own).alias("subjects"))
     some = tagged.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)

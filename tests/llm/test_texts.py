@@ -181,6 +181,24 @@ def test_title_defects():
     assert p4.defect("title", "  ", None, None) == "empty"
 
 
+@pytest.mark.parametrize("text, left", [("a “b” c", []), ("a “b\n\n“c” d", []), ("a “b「c」", ["“"]), ("(a [b) c", []), ("“a\n\nb. c.", ["“"]), ('he said "x.', ['"']), ('he said "x\n\ny.', []), ("```\na\n```", []), ("```\na.", ["```"]), ("a) b”", []), ("", [])])
+def test_delimiters_left_open(text, left):
+    assert p4.left_open(text) == left
+
+
+def test_a_stop_inside_open_delimiters_is_cut():
+    assert p4.defect("content", VI + "\n\n“Ta đã đi.\n\nHắn dừng lại.", ZH, "vi") == "truncated"
+    assert p4.defect("content", VI + "\n\n“Ta đã đi.”", ZH, "vi") is None
+
+
+def test_refusals_anywhere():
+    no = "Xin lỗi, tôi không thể hỗ trợ yêu cầu này."
+    assert p4.defect("content", "\n\n".join([VI] * 4 + [no]), ZH, "vi") == "refusal"  # the last line of many
+    assert p4.defect("content", "\n\n".join([VI] * 4 + [no, "Mưa rơi."]), ZH, "vi") == "refusal"
+    assert p4.defect("content", "\n\n".join([VI] * 4 + [no] + [VI] * 4), ZH, "vi") is None  # the translation goes on
+    assert p4.copied_title("第1章 夜雨", "'第1章  夜雨") and not p4.copied_title("第1章", "第1章 夜雨") and not p4.copied_title("", "x")
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.sampled_from("abc"), max_size=14), st.lists(st.sampled_from("abc"), max_size=10), st.integers(1, 4))
 def test_suffix_automaton_against_all_factors(source, seq, least):
@@ -235,6 +253,27 @@ def test_alignment_finds_pairs(spark):
     assert p6.align(df.where("false")).count() == 0
 
 
+def test_more_than_two_rows_and_long_chapters(spark, monkeypatch):
+    """Each of three rows is paired with each in another language; a chapter in tiles gives the same links."""
+    rnd = random.Random(5)
+    rows = []
+    for c in range(80):
+        ws = [rnd.sample(WORDS, 5) for _ in range(8)]
+        en, fr = "\n".join("The " + " ".join(w) for w in ws), "\n".join("Le " + " ".join(LEX[x] for x in w) for w in ws)
+        rows += [(3 * c, "b", f"c{c}", "en", en), (3 * c + 1, "b", f"c{c}", "fr", fr), (3 * c + 2, "b", f"c{c}", "fr", fr)]
+    df = spark.createDataFrame(rows, "bil_id long, book string, id string, lang string, content string")
+    got = {tuple(r) for r in p6.align(df).collect()}
+    want = {(3 * c, i, 3 * c + k, i) for c in range(80) for i in range(1, 9) for k in (1, 2)}
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.05 * len(want)
+    chapter = p6.materialize(p6.chapters(df, 2), "c").toPandas()
+    model = p6.build_model(p6.train(spark.createDataFrame(chapter), 2)["en-fr"])
+    flat = lambda x: (np.concatenate(x), np.array([len(y) for y in x]))
+    first = chapter.iloc[0]
+    whole = p6.link(model, flat(first.words_a), flat(first.words_b))
+    monkeypatch.setattr(p6, "TILE", 3)
+    assert p6.link(model, flat(first.words_a), flat(first.words_b)) == whole and len(whole) >= 7
+
+
 @pytest.mark.parametrize("s, v", [("三百四十二", 342), ("十", 10), ("一百零五", 105), ("两千", 2000), ("一万二千", 12000)])
 def test_han_numbers(s, v):
     assert p6.han_number(s) == v
@@ -272,6 +311,26 @@ def test_subjects(spark):
     assert p9.subjects_of(d, lab.where("false"), subs).count() == 0
 
 
+def test_each_subject_has_its_own_threshold():
+    """One subject is told by one sentence, the other only by three: a common threshold would lose one of them."""
+    rnd = random.Random(6)
+    texts, labels = [], []
+    for i in range(900):
+        lines = [sentence() for _ in range(6)]
+        kind = i % 3
+        if kind == 0:
+            lines.append(f"The {rnd.choice(TOPICS['law'])} and the {rnd.choice(TOPICS['law'])} went on.")
+        n = 4 if kind == 1 else 1
+        lines += [f"The {rnd.choice(TOPICS['music'])} and the {rnd.choice(TOPICS['music'])} went on." for _ in range(n)]
+        rnd.shuffle(lines)
+        texts.append(" ".join(lines))
+        labels.append([["law"], ["music"], []][kind])
+    m = p9.fit(texts, labels, ["law", "music"])
+    assert m.least[0] < m.least[1] or m.cut[0] < m.cut[1]
+    got = p9.predict(m, texts)
+    assert sum(g == w for g, w in zip(got, labels)) >= 0.95 * len(texts)
+
+
 def test_model_survives_packing():
     m = p9.fit([doc(["law"]) for _ in range(40)] + [doc(["music"]) for _ in range(40)], [["law"]] * 40 + [["music"]] * 40, ["law", "music"])
     x = p9.unpack(p9.pack(m))
