@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -36,8 +37,16 @@ def brand_of(site: str | None) -> str:
     return (site or "").split(".")[0].lower()
 
 
+SHORT = 200  # characters of a line up to which its token and kind are remembered: hosts print the same lines on many pages
+
+
 def token(line: str, site: str | None, names: tuple[str, ...] = ()) -> str:
     """A line as a token of the host's stream: numbers and the host's names are slots."""
+    return (_token if len(line) <= SHORT else _token.__wrapped__)(line, site, names)
+
+
+@lru_cache(maxsize=1 << 15)
+def _token(line: str, site: str | None, names: tuple[str, ...]) -> str:
     t = " ".join(line.split()).lower()
     for name in (site, brand_of(site), *names):
         if name and len(name) > 1:
@@ -46,6 +55,11 @@ def token(line: str, site: str | None, names: tuple[str, ...] = ()) -> str:
 
 
 def kind(line: str) -> int:
+    return (_kind if len(line) <= SHORT else _kind.__wrapped__)(line)
+
+
+@lru_cache(maxsize=1 << 15)
+def _kind(line: str) -> int:
     t = line.strip().lstrip("'")
     if HEADING.match(t):
         return HEAD
@@ -144,17 +158,16 @@ def label(tokens: list[str], kinds: list[int], remarks: list[bool], role: dict[s
         else:
             cost.append({SENTENCE: (-2.5, 0.0, -3.5), HEAD: (-3.0, 0.0, -1.5), TEXT: (-0.7, -1.4, -0.7), ITEM: (-1.0, -0.8, -0.2), PATH: (-0.2, -4.0, -0.7)}[k])
     n = len(cost)
-    best = [0.0, -1e9, -1e9]
+    head, body, foot = 0.0, -1e9, -1e9
     back = []
     for c in cost:
-        step, new = [], []
-        for s in range(3):
-            p = max(range(s + 1), key=lambda q: (best[q], q))
-            step.append(p)
-            new.append(best[p] + c[s])
-        best = new
-        back.append(step)
-    s = max(range(3), key=lambda q: best[q])
+        # the body begins after the head, the foot after either
+        to_body = 1 if body >= head else 0
+        top = body if to_body else head
+        to_foot = 2 if foot >= top else to_body
+        back.append((0, to_body, to_foot))
+        head, body, foot = head + c[0], top + c[1], (foot if to_foot == 2 else top) + c[2]
+    s = 0 if head >= body and head >= foot else 1 if body >= foot else 2
     state = [0] * n
     for i in range(n - 1, -1, -1):
         state[i] = s
@@ -165,7 +178,7 @@ def label(tokens: list[str], kinds: list[int], remarks: list[bool], role: dict[s
     return own
 
 
-SEPARATOR = regex.compile(r"\s+[-–—|·»]\s+|[_|｜]|\s*[（(【\[]|：\s*(?=\S+$)(?!)")
+SEPARATOR = regex.compile(r"\s+[-–—|·»]\s+|[_|｜]|\s*[（(【\[]")
 
 
 def title_parts(title: str) -> tuple[str, bool]:
@@ -192,7 +205,7 @@ def inner(kinds: list[int], tokens: list[str]) -> list[bool]:
 
 
 def host_names(pages: DataFrame, share: float = 0.03) -> DataFrame:
-    """site, names: what the host calls itself, from what its titles hold beside the heading."""
+    """site, own: what the host calls itself, from what its titles hold beside the heading: the most frequent name and those at least half as frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -206,14 +219,14 @@ def host_names(pages: DataFrame, share: float = 0.03) -> DataFrame:
                 if cut and t[cut.start() : cut.end()].strip() not in ("（", "(", "【", "["):
                     parts.append(regex.split(r"[-–—|·»_｜]", t)[-1].strip())
                 for p in parts:
-                    if 1 < len(p) <= 24:
+                    if len(p) > 1:
                         site.append(s or "")
                         name.append(p)
             yield pa.RecordBatch.from_arrays([pa.array(site, pa.string()), pa.array(name, pa.string())], names=["site", "name"])
 
     n = pages.groupBy(F.coalesce("site", F.lit("")).alias("site")).agg(F.count("*").alias("pages"))
     found = pages.select("site", "title").mapInArrow(run, "site string, name string").groupBy("site", "name").agg(F.count("*").alias("n"))
-    return found.join(n, "site").where((F.col("n") >= 2) & (F.col("n") >= share * F.col("pages"))).groupBy("site").agg(F.max_by("name", F.struct("n", "name")).alias("own"))
+    return found.join(n, "site").where((F.col("n") >= 2) & (F.col("n") >= share * F.col("pages"))).groupBy("site").agg(F.collect_list(F.struct("n", "name")).alias("own")).select("site", F.transform(F.filter("own", lambda x: 2 * x["n"] >= F.array_max("own")["n"]), lambda x: x["name"]).alias("own"))  # at most 2 / share of them
 
 
 def streams(pages: DataFrame) -> DataFrame:
@@ -227,7 +240,7 @@ def streams(pages: DataFrame) -> DataFrame:
                 for r in b.slice(at, 500).to_pylist():
                     lines = (repair(r["content"])[0] or "").split("\n") if r["content"] is not None else []
                     lines = [x.replace("\ufeff", "").replace("\u200b", "").rstrip("\r") for x in lines]
-                    known = (r["own"],) if r["own"] else ()
+                    known = tuple(sorted(r["own"] or (), key=lambda x: (-len(x), x)))
                     tokens, kinds = [token(x, r["site"], known) for x in lines], [kind(x) for x in lines]
                     rows.append({"page_id": r["page_id"], "site": r["site"], "title": repair(r["title"])[0], "lines": lines, "tokens": tokens, "kinds": kinds, "inner": inner(kinds, tokens)})
                 yield pa.RecordBatch.from_pylist(rows, schema=_STREAM)

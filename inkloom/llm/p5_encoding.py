@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -14,11 +15,11 @@ from pyspark.sql import DataFrame
 from inkloom.runtime import spread
 
 # Encodings that text is stored in, and those it is wrongly read with.
-STORED_UTF8, STORED_GB = "utf-8", "gb2312"
+STORED_UTF8, STORED_GB, STORED_BIG5 = "utf-8", "gb2312", "big5"
 READ_ONE_BYTE = ("cp1252", "latin-1", "iso8859-2", "cp1250", "iso8859-9", "cp1254", "iso8859-15", "cp1258", "mac-roman", "cp437", "cp850", "cp852", "koi8-r", "koi8-u", "cp866", "cp1251", "iso8859-5", "iso8859-7", "cp1253")
 READ_MANY_BYTES = ("gb18030", "big5", "cp932", "cp949", "euc_jp")
-# Code pages that text in a GB code is found to be misread with.
-READ_GB = ("cp1252", "latin-1", "big5", "iso8859-2", "cp1250")
+# Code pages whose letters are Western: a run of them where a word has none is no text of theirs.
+WESTERN = ("cp1252", "latin-1", "iso8859-2", "cp1250", "iso8859-9", "cp1254", "iso8859-15", "cp1258")
 
 # Letters of Vietnamese and the onsets and codas of its syllables.
 VOWELS = "aăâeêioôơuưy"
@@ -61,6 +62,19 @@ def alphabets() -> tuple[set[str], set[str], set[str]]:
     return twice | letters | han | vi | signs | latin | full | {"﻿", "​"}, vi, common | signs | full
 
 
+@lru_cache(maxsize=1)
+def traditional() -> set[str]:
+    """The frequent Han characters of the code that traditional texts are stored in."""
+    return {bytes([a, b]).decode("big5") for a in range(0xA4, 0xC7) for b in (*range(0x40, 0x7F), *range(0xA1, 0xFF)) if (a, b) <= (0xC6, 0x7E)}
+
+
+@lru_cache(maxsize=4)
+def common_of(stored: str) -> frozenset[str]:
+    """The characters that texts in a stored encoding mostly hold."""
+    common = alphabets()[2]
+    return frozenset((common - {c for c in common if "一" <= c <= "鿿"}) | traditional() if stored == STORED_BIG5 else common)
+
+
 @lru_cache(maxsize=1)
 def usual_characters() -> frozenset[str]:
     """What sound Chinese, Vietnamese and English text holds."""
@@ -83,62 +97,87 @@ def odd_positions(text: str) -> set[int]:
 def automata():
     """For each stored encoding, an automaton of the byte sequences of all characters of sound text.
 
-    Read with encoding B, a sequence garbles to B's characters for these bytes.
-    Matching the bytes that the text has in B therefore matches the garbled
-    sequences of the pair, also where B's characters span two sequences.
+    They are matched against the bytes that a text has in an encoding of more
+    than one byte a character, whose characters span the sequences.
     """
     sound, _, _ = alphabets()
     out = {}
-    for stored in (STORED_UTF8, STORED_GB):
+    for stored in (STORED_UTF8, STORED_GB, STORED_BIG5):
         a = ahocorasick.Automaton()
-        for c in sound:
-            try:
-                raw = c.encode(stored)
-            except UnicodeEncodeError:
-                continue
-            if len(raw) > 1:
+        for c in sound | traditional() if stored == STORED_BIG5 else sound:
+            raw = _bytes(c, stored)
+            if raw:
                 a.add_word(raw.decode("latin-1"), (len(raw), c))
         a.make_automaton()
         out[stored] = a
     return out
 
 
+def _bytes(c: str, stored: str) -> bytes | None:
+    """A character's bytes in a stored encoding, if they are more than one."""
+    try:
+        raw = c.encode(stored)
+    except UnicodeEncodeError:
+        return None
+    return raw if len(raw) > 1 else None
+
+
 @lru_cache(maxsize=32)
-def byte_table(read: str) -> dict[str, int]:
-    """Character to byte of a one-byte encoding; undefined bytes are read as themselves."""
-    table = {chr(b): b for b in range(256)}
-    for b in range(255, -1, -1):
+def characters(read: str) -> list[str]:
+    """The character of each byte of a one-byte encoding; undefined bytes are read as themselves."""
+    out = []
+    for b in range(256):
         try:
-            table[bytes([b]).decode(read)] = b
+            out.append(bytes([b]).decode(read))
         except UnicodeDecodeError:
-            table[chr(b)] = b
-    return table
+            out.append(chr(b))
+    return out
 
 
-def _as_bytes(text: str, read: str) -> tuple[str, list[int]]:
-    """The bytes that ``text`` was read from, as Latin-1, and the character each belongs to; NUL where there are none."""
-    out, owner = [], []
-    table = byte_table(read) if read in READ_ONE_BYTE else None
-    for i, c in enumerate(text):
-        if c < "\x80":
-            raw = c
-        elif table is not None:
-            raw = chr(table[c]) if c in table else "\x00"
-        else:
-            try:
-                raw = c.encode(read).decode("latin-1")
-            except UnicodeEncodeError:
-                raw = chr(ord(c)) if 0x80 <= ord(c) < 0xA0 else "\x00"
-        out.append(raw)
-        owner += [i] * len(raw)
-    return "".join(out), owner
+@lru_cache(maxsize=1)
+def garbles():
+    """An automaton of what each character of sound text is garbled into by each pair of a stored and a one-byte encoding.
+
+    A sequence holds its length and, for each pair that has it, the pair and the character.
+    """
+    sound, _, _ = alphabets()
+    found: dict[str, list[tuple[int, str]]] = {}
+    for p, (stored, read) in enumerate(PAIRS):
+        table = characters(read)
+        for c in sound | traditional() if stored == STORED_BIG5 else sound:
+            raw = _bytes(c, stored)
+            if raw:
+                found.setdefault("".join(table[x] for x in raw), []).append((p, c))
+    a = ahocorasick.Automaton()
+    for g, pairs in found.items():
+        a.add_word(g, (len(g), pairs))
+    a.make_automaton()
+    return a
 
 
-def _spans(text: str, stored: str, read: str) -> list[tuple[int, int, str]]:
-    """(start, end, original) of the garbled runs of a pair, in characters of ``text``."""
-    raw, owner = _as_bytes(text, read)
+PAIRS = tuple((stored, read) for stored in (STORED_UTF8, STORED_GB, STORED_BIG5) for read in READ_ONE_BYTE)
+MANY_PAIRS = tuple((STORED_UTF8, read) for read in READ_MANY_BYTES) + ((STORED_GB, "big5"), (STORED_BIG5, "gb18030"))
+
+
+def _unread(e: UnicodeEncodeError) -> tuple[bytes, int]:
+    """Characters that an encoding lacks: bytes read as themselves, others are none of its bytes."""
+    return b"".join(bytes([ord(c)]) if "\x80" <= c < "\xa0" else b"\0" for c in e.object[e.start : e.end]), e.end
+
+
+codecs.register_error("inkloom-unread", _unread)
+
+
+def _spans_of_many(text: str, stored: str, read: str) -> list[tuple[int, int, str]]:
+    """(start, end, original) of the garbled runs of a pair whose reading takes several bytes a character."""
+    raw = text.encode(read, "inkloom-unread").decode("latin-1")
+    found = list(automata()[stored].iter_long(raw))
+    if not found:
+        return []
+    owner: list[int] = []
+    for i, c in enumerate(text):
+        owner += [i] * (1 if c < "\x80" else len(c.encode(read, "inkloom-unread")))
     runs: list[tuple[int, int, str]] = []
-    for last, (n, c) in automata()[stored].iter_long(raw):
+    for last, (n, c) in found:
         a, b = last - n + 1, last + 1
         if runs and runs[-1][1] == a:
             runs[-1] = (runs[-1][0], b, runs[-1][2] + c)
@@ -157,20 +196,53 @@ def _spans(text: str, stored: str, read: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _spans(text: str) -> dict[int, list[tuple[int, int, str]]]:
+    """For each pair of PAIRS that has any the (start, end, original) of its garbled runs."""
+    out: dict[int, list[tuple[int, int, str]]] = {}
+    for last, (n, pairs) in garbles().iter(text):
+        a, b = last - n + 1, last + 1
+        for p, c in pairs:
+            runs = out.get(p)
+            if runs is None:
+                out[p] = [(a, b, c)]
+            elif runs[-1][1] == a:
+                runs[-1] = (runs[-1][0], b, runs[-1][2] + c)
+            elif runs[-1][1] < a:
+                runs.append((a, b, c))
+    return out
+
+
+def _signs(s: str) -> int:
+    """Characters that stand in no word: signs, and capitals right after small letters."""
+    return sum(not c.isalpha() or (c.isupper() and p.islower()) for p, c in zip(" " + s, s))
+
+
 def _accept(text: str, stored: str, read: str, spans: list[tuple[int, int, str]], odd: set[int]) -> list[tuple[int, int, str]]:
     """The spans of a pair that are garbled, judged by what they become."""
-    _, vi, common = alphabets()
-    if stored == STORED_GB:
+    vi, common = alphabets()[1], common_of(stored)
+    # of what could be other characters as well, half is frequent; foreign letters say nothing
+    usual = lambda s: 2 * sum(c in common for c in s) >= sum(c in common or "一" <= c <= "鿿" for c in s) > 0
+    if stored in (STORED_GB, STORED_BIG5):
         if read in READ_MANY_BYTES:  # such text is garbled into Han characters; a foreign script is none
             spans = [x for x in spans if any("一" <= c <= "鿿" for c in text[x[0] : x[1]])]
+            # text that was written in the code it is read in holds that code's frequent characters
+            han, own = [c for a, b, _ in spans for c in text[a:b] if "一" <= c <= "鿿"], common_of(STORED_BIG5 if read == "big5" else STORED_GB)
+            if 10 * sum(c in own for c in han) >= 9 * len(han):
+                return []
+        elif read not in WESTERN:  # letters of another script make words; garbled text is strewn with signs
+            spans = [x for x in spans if 8 * _signs(text[x[0] : x[1]]) >= x[1] - x[0] >= 8]
         sure = [x for x in spans if len(x[2]) >= 2]
-        if not sure or 2 * sum(c in common for _, _, x in spans for c in x) < sum(len(x) for _, _, x in spans):
+        if not sure or not usual("".join(x for _, _, x in spans)):
             return []
-        # a GB text is garbled as a whole: its runs hold nearly all that isn't ASCII
+        # runs that hold nearly all of the line that isn't ASCII, else those that no word of their own holds
         held, strange = sum(b - a for a, b, _ in spans), sum(i in odd for a, b, _ in spans for i in range(a, b))
-        if held < 0.6 * sum(c > "\x7f" for c in text) or (read in READ_MANY_BYTES and strange < 0.3 * held):
+        if read in READ_MANY_BYTES and strange < 0.3 * held:
             return []
-        return spans
+        if held >= 0.6 * sum(c > "\x7f" for c in text):
+            return spans
+        if read in READ_MANY_BYTES:
+            return []
+        return [x for x in spans if len(x[2]) >= 3 and usual(x[2]) and any(i in odd for i in range(x[0], x[1]))]
     if read in READ_MANY_BYTES:
         strange = lambda c: not ("\u0370" <= c < "\u0530" or c.isascii())  # a foreign word in a script of its own is no garble
         return [(a, b, s) for a, b, s in spans if any(i in odd and strange(text[i]) for i in range(a, b)) and 2 * sum(c in common or c in vi or c < "\x80" for c in s) >= len(s)]
@@ -194,6 +266,10 @@ def vni_table() -> dict[str, str]:
     return table
 
 
+READINGS = READ_ONE_BYTE + READ_MANY_BYTES
+SHORT = 160  # characters of a line up to which its restoration is remembered
+
+
 @lru_cache(maxsize=1)
 def _vni():
     a = ahocorasick.Automaton()
@@ -231,14 +307,14 @@ def _once(line: str) -> tuple[str, list[tuple[int, int]]]:
     if not odd:
         return line, []
     best: tuple[tuple, list[tuple[int, int, str]]] | None = None
-    for stored, reads in ((STORED_UTF8, READ_ONE_BYTE + READ_MANY_BYTES), (STORED_GB, READ_GB)):
-        for k, read in enumerate(reads):
-            got = _accept(line, stored, read, _spans(line, stored, read), odd)
-            if got:
-                covered = sum(i in odd for a, b, _ in got for i in range(a, b))
-                value = (covered, -sum(len(s) for _, _, s in got), stored == STORED_UTF8, -k)
-                if best is None or value > best[0]:
-                    best = (value, got)
+    found = [(*PAIRS[p], spans) for p, spans in _spans(line).items()] + [(stored, read, _spans_of_many(line, stored, read)) for stored, read in MANY_PAIRS]
+    for stored, read, spans in found:
+        got = _accept(line, stored, read, spans, odd) if spans else []
+        if got:
+            covered = sum(i in odd for a, b, _ in got for i in range(a, b))
+            value = (covered, sum(b - a for a, b, _ in got), -sum(len(s) for _, _, s in got), stored == STORED_UTF8, stored == STORED_GB, -READINGS.index(read))
+            if best is None or value > best[0]:
+                best = (value, got)
     vni = _vni_spans(line)
     if vni and (best is None or sum(b - a for a, b, _ in vni) > 2 * sum(b - a for a, b, _ in best[1])):
         best = ((0,), vni)
@@ -253,6 +329,15 @@ def _once(line: str) -> tuple[str, list[tuple[int, int]]]:
 
 def repair_line(line: str) -> tuple[str, bool]:
     """(restored line, whether it was garbled). Text garbled more than once is restored step by step."""
+    return _repeated(line) if len(line) <= SHORT else _restored(line)
+
+
+@lru_cache(maxsize=1 << 14)  # sites print the same lines on many pages
+def _repeated(line: str) -> tuple[str, bool]:
+    return _restored(line)
+
+
+def _restored(line: str) -> tuple[str, bool]:
     garbled = "�" in line
     for _ in range(3):
         fixed, spans = _once(line)

@@ -100,7 +100,7 @@ def _can(b, read):
         return False
 
 
-@pytest.mark.parametrize("text", ["The sign said “Café Zéphyrîne”, £103 the cup.", "墙上是西里尔字母：Ворота закрыты。", "The gate bore the words Ворота закрыты and 门已关.", "温度计停在 −12 °C，½ 的水已经结冰 ≈ 145 升。", "Ærwyn à Châtelör, §12 ¶3 — naïve, Éloïse", "宿泠戟发来一个表情：(´・ω・`)？", "Đêm hôm ấy, Văn Linh Hành", "门牌写着“ﾐｽﾞﾉﾄ屋”", "本站使用Cookie来改善您的浏览体验", ""])
+@pytest.mark.parametrize("text", ["The sign said “Café Zéphyrîne”, £103 the cup.", "他推開客棧的門，看見院子裡站著一個人。", "墙上是西里尔字母：Ворота закрыты。", "The gate bore the words Ворота закрыты and 门已关.", "温度计停在 −12 °C，½ 的水已经结冰 ≈ 145 升。", "Ærwyn à Châtelör, §12 ¶3 — naïve, Éloïse", "宿泠戟发来一个表情：(´・ω・`)？", "Đêm hôm ấy, Văn Linh Hành", "门牌写着“ﾐｽﾞﾉﾄ屋”", "本站使用Cookie来改善您的浏览体验", ""])
 def test_unusual_but_intended_text_stays(text):
     assert p5.repair_line(text) == (text, False)
 
@@ -113,6 +113,22 @@ def test_mixed_text_is_touched_where_garbled(spark):
     assert p5.repair_fields(df.where("false"), "page_id").count() == 0
 
 
+@pytest.mark.parametrize("stored", [p5.STORED_UTF8, p5.STORED_GB, p5.STORED_BIG5])
+@pytest.mark.parametrize("read", p5.READ_ONE_BYTE)
+def test_every_pair_of_encodings(stored, read):
+    text = "他推开客栈的门，看见院子里站着一个人。" if stored == p5.STORED_GB else "他推開客棧的門，看見院子裡站著一個人。" if stored == p5.STORED_BIG5 else "“Chương này,” hắn nói, “ta sẽ trở lại…”"
+    bad = "".join(p5.characters(read)[b] for b in text.encode(stored))
+    assert p5.repair_line(bad) == (text, True)
+
+
+def test_garbled_spans_in_sound_lines():
+    bad = "客栈老板".encode("gb2312").decode("latin-1")
+    line = "他推开门，看见院子里站着一个人，手里提着灯笼，说：" + bad + "，请进。"
+    assert p5.repair_line(line) == (line.replace(bad, "客栈老板"), True)
+    russian = "墙上是西里尔字母：Ворота закрыты。"
+    assert p5.repair_line("".join(p5.characters("cp1252")[b] for b in russian.encode("gb2312"))) == (russian, True)
+
+
 def test_vietnamese_font_code():
     back = {v: k for k, v in p5.vni_table().items() if len(k) == 2 or k in "ñöôæóòî"}
     text = "ai đã lấy chén trà sứ"
