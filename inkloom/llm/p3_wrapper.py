@@ -230,30 +230,32 @@ def host_names(pages: DataFrame, share: float = 0.03) -> DataFrame:
 
 
 def streams(pages: DataFrame) -> DataFrame:
-    """page_id, site, title, lines, tokens, kinds and inner flags of each page, garbled text restored first."""
+    """page_id, site, title, content, tokens, kinds and inner flags of each page, garbled text restored first."""
     names = host_names(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                rows = []
-                for r in b.slice(at, 500).to_pylist():
-                    lines = (repair(r["content"])[0] or "").split("\n") if r["content"] is not None else []
-                    lines = [x.replace("\ufeff", "").replace("\u200b", "").rstrip("\r") for x in lines]
-                    known = tuple(sorted(r["own"] or (), key=lambda x: (-len(x), x)))
-                    tokens, kinds = [token(x, r["site"], known) for x in lines], [kind(x) for x in lines]
-                    rows.append({"page_id": r["page_id"], "site": r["site"], "title": repair(r["title"])[0], "lines": lines, "tokens": tokens, "kinds": kinds, "inner": inner(kinds, tokens)})
-                yield pa.RecordBatch.from_pylist(rows, schema=_STREAM)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                ids, site, title, content, own = (b.column(k) for k in range(5))
+                texts, tokens, kinds, inside = [], [], [], []
+                for s, t, names in zip(site.to_pylist(), content.to_pylist(), own.to_pylist()):
+                    lines = [x.rstrip("\r") for x in (repair(t)[0] or "").replace("\ufeff", "").replace("\u200b", "").split("\n")] if t is not None else []
+                    known = tuple(sorted(names or (), key=lambda x: (-len(x), x)))
+                    ts, ks = [token(x, s, known) for x in lines], [kind(x) for x in lines]
+                    texts.append("\n".join(lines) if t is not None else None)
+                    tokens.append(ts)
+                    kinds.append(ks)
+                    inside.append(inner(ks, ts))
+                yield pa.RecordBatch.from_arrays([ids, site, pa.array([repair(t)[0] for t in title.to_pylist()], pa.string()), pa.array(texts, pa.string()), pa.array(tokens, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int32())), pa.array(inside, pa.list_(pa.bool_()))], names=["page_id", "site", "title", "content", "tokens", "kinds", "inner"])
 
     return (
         spread(pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content")).join(broadcast_if(names, HOSTS), "site", "left")
-        .mapInArrow(run, "page_id long, site string, title string, lines array<string>, tokens array<string>, kinds array<int>, inner array<boolean>")
+        .select("page_id", "site", "title", "content", "own")
+        .mapInArrow(run, "page_id long, site string, title string, content string, tokens array<string>, kinds array<int>, inner array<boolean>")
     )
 
 
-_STREAM = pa.schema([("page_id", pa.int64()), ("site", pa.string()), ("title", pa.string()), ("lines", pa.list_(pa.string())), ("tokens", pa.list_(pa.string())), ("kinds", pa.list_(pa.int32())), ("inner", pa.list_(pa.bool_()))])
-
-
 def frames(stream: DataFrame, share: float = 0.02, sentence_share: float = 0.08, outer_share: float = 0.005) -> DataFrame:
     """site, frame: the tokens that the host itself prints.
 
@@ -341,28 +343,42 @@ def main_bodies(pages: DataFrame) -> DataFrame:
     wrapper = materialize(wrappers(stream, frame), "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, cache = [], {}
-            for r in b.to_pylist():
-                role = cache.get(r["site"])
-                if role is None:
-                    role = {t: (x, 0.0, y) for t, x, y in zip(r["token"] or (), r["before"] or (), r["after"] or ())}
-                    for t, n in r["inside"] or ():
-                        x = role.get(t, (0.0, 0.0, 0.0))
-                        role[t] = (x[0], n, x[2])
-                    cache[r["site"]] = role
-                own = label(r["tokens"], r["kinds"], [bool(REMARK.match(x)) for x in r["lines"]], role)
-                heading, extra = title_parts(r["title"]) if r["title"] is not None else (None, False)
-                rows.append({"page_id": r["page_id"], "own": own, "blank": [not t for t in r["tokens"]], "body": "\n".join(x for x, o in zip(r["lines"], own) if o), "heading": heading, "title_extra": extra})
-            yield pa.RecordBatch.from_pylist(rows, schema=_BODY)
-
-    return stream.join(broadcast_if(wrapper, HOSTS), "site", "left").mapInArrow(run, "page_id long, own array<boolean>, blank array<boolean>, body string, heading string, title_extra boolean")
-
-
-_BODY = pa.schema([("page_id", pa.int64()), ("own", pa.list_(pa.bool_())), ("blank", pa.list_(pa.bool_())), ("body", pa.string()), ("heading", pa.string()), ("title_extra", pa.bool_())])
+        cache: dict[str, dict[str, tuple[float, float, float]]] = {}
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                cols = {name: b.column(name) for name in ("page_id", "site", "title", "content", "tokens", "kinds")}
+                owns, blanks, bodies, heads, extras = [], [], [], [], []
+                rows = zip(*(cols[name].to_pylist() for name in ("site", "title", "content", "tokens", "kinds")))
+                for i, (site, title, content, tokens, kinds) in enumerate(rows):
+                    role = cache.get(site)
+                    if role is None:
+                        role = cache[site] = _role(*(b.column(name)[i].as_py() for name in ("token", "before", "after", "inside")))
+                    lines = content.split("\n") if content is not None else []
+                    own = label(tokens, kinds, [bool(REMARK.match(x)) for x in lines], role)
+                    heading, extra = title_parts(title) if title is not None else (None, False)
+                    owns.append(own)
+                    blanks.append([not t for t in tokens])
+                    bodies.append("\n".join(x for x, o in zip(lines, own) if o))
+                    heads.append(heading)
+                    extras.append(extra)
+                yield pa.RecordBatch.from_arrays([cols["page_id"], pa.array(owns, pa.list_(pa.bool_())), pa.array(blanks, pa.list_(pa.bool_())), pa.array(bodies, pa.string()), pa.array(heads, pa.string()), pa.array(extras, pa.bool_())], names=["page_id", "own", "blank", "body", "heading", "title_extra"])
+
+    wide = stream.select("page_id", "site", "title", "content", "tokens", "kinds").join(broadcast_if(wrapper, HOSTS), "site", "left")
+    return wide.mapInArrow(run, "page_id long, own array<boolean>, blank array<boolean>, body string, heading string, title_extra boolean")
+
+
+def _role(token: list[str] | None, before: list[float] | None, after: list[float] | None, inside: list[tuple[str, float]] | None) -> dict[str, tuple[float, float, float]]:
+    """For each token of a host, how often it stands before, inside and after the body."""
+    role = {t: (x, 0.0, y) for t, x, y in zip(token or (), before or (), after or ())}
+    for t, n in inside or ():
+        x = role.get(t, (0.0, 0.0, 0.0))
+        role[t] = (x[0], n, x[2])
+    return role
 
 
 def boilerplate_lines(bodies: DataFrame) -> DataFrame:
     """page_id, line_no of each line outside the body, and line 0 for titles with more than the heading."""
-    lines = bodies.select("page_id", F.posexplode(F.arrays_zip("own", "blank")).alias("i", "x")).where("not x.own and not x.blank").select("page_id", (F.col("i") + 1).alias("line_no"))
-    return lines.unionByName(bodies.where("title_extra").select("page_id", F.lit(0).alias("line_no")))
+    lines = F.transform(F.arrays_zip("own", "blank"), lambda x, i: F.when(~x["own"] & ~x["blank"], i + 1))
+    found = F.filter(F.concat(F.array(F.when(F.col("title_extra"), 0)), lines), lambda n: n.isNotNull())
+    return bodies.select("page_id", F.explode(found).alias("line_no"))
