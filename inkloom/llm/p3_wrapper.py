@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.p5_encoding import repair
-from inkloom.runtime import broadcast_if, materialize, spread
+from inkloom.runtime import broadcast_if, materialize, spread, stored_bytes
 
 # Chapter headings and openings of authors' remarks.
 HEADING = regex.compile(r"(?:第\s*[0-9０-９零〇一二两三四五六七八九十百千]+\s*[章回话節节卷]|(?:chapter|chap\.?|chương|volume|vol\.|quyển)\s*\d+)", regex.IGNORECASE)
@@ -27,7 +27,9 @@ NUMBER = regex.compile(r"\d+")
 LABELLED = regex.compile(r"^\s*(?:《[^》]{1,40}》\s*[:：]|[^\s:：。！？.!?“\"「][^:：。！？.!?“\"「]{0,60}(?:\s[—–]\s|:\s|：))")
 
 TEXT, SENTENCE, HEAD, PATH, ITEM = 0, 1, 2, 3, 4  # kinds of a line that isn't the host's
-HOSTS = 500  # hosts up to which their frames and wrappers (some 100 KB each at most) are broadcast
+HOSTS, HOSTS_BYTES = 500, 16 << 20  # hosts and compressed bytes up to which frames and wrappers are broadcast
+SALTS = 16  # parts of a site beyond that
+FAN = 8  # wrappers that are aligned with each other in one task
 SLOT = "\x01"  # in tokens, the host's name
 BODY = "\x00body"
 OTHER = "\x00text"
@@ -229,6 +231,15 @@ def host_names(pages: DataFrame, share: float = 0.03) -> DataFrame:
     return found.join(n, "site").where((F.col("n") >= 2) & (F.col("n") >= share * F.col("pages"))).groupBy("site").agg(F.collect_list(F.struct("n", "name")).alias("own")).select("site", F.transform(F.filter("own", lambda x: 2 * x["n"] >= F.array_max("own")["n"]), lambda x: x["name"]).alias("own"))  # at most 2 / share of them
 
 
+def with_host(pages: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``pages`` with what ``hosts`` (one row a site) says of their site: broadcast while it is small, else joined in salted parts, as a site may hold a third of the pages."""
+    h = materialize(hosts, "hosts")
+    if stored_bytes(h) <= HOSTS_BYTES and h.limit(HOSTS + 1).count() <= HOSTS:
+        return pages.join(F.broadcast(h), "site", "left")
+    many = h.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return pages.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(many, ["site", "_salt"], "left").drop("_salt")
+
+
 def streams(pages: DataFrame) -> DataFrame:
     """page_id, site, title, content, tokens, kinds and inner flags of each page, garbled text restored first."""
     names = host_names(pages)
@@ -250,7 +261,7 @@ def streams(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, site, pa.array([repair(t)[0] for t in title.to_pylist()], pa.string()), pa.array(texts, pa.string()), pa.array(tokens, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int32())), pa.array(inside, pa.list_(pa.bool_()))], names=["page_id", "site", "title", "content", "tokens", "kinds", "inner"])
 
     return (
-        spread(pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content")).join(broadcast_if(names, HOSTS), "site", "left")
+        with_host(spread(pages.select("page_id", F.coalesce("site", F.lit("")).alias("site"), "title", "content")), names)
         .select("page_id", "site", "title", "content", "own")
         .mapInArrow(run, "page_id long, site string, title string, content string, tokens array<string>, kinds array<int>, inner array<boolean>")
     )
@@ -307,7 +318,7 @@ def wrappers(stream: DataFrame, frame: DataFrame, each: int = 2000) -> DataFrame
                 rows.append({"site": r["site"], "symbols": symbols, "inside": inside})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("site", pa.string()), ("symbols", pa.list_(pa.string())), ("inside", pa.list_(pa.string()))]))
 
-    sk = materialize(stream.select("site", "tokens", "kinds").join(broadcast_if(frame, HOSTS), "site", "left").mapInArrow(skeletons, "site string, symbols array<string>, inside array<string>"), "skeletons")
+    sk = materialize(with_host(stream.select("page_id", "site", "tokens", "kinds"), frame).mapInArrow(skeletons, "site string, symbols array<string>, inside array<string>"), "skeletons")
     inside = sk.select("site", F.explode("inside").alias("token")).groupBy("site", "token").agg(F.count("*").alias("n"))
     inside = inside.groupBy("site").agg(F.map_from_entries(F.collect_list(F.struct("token", F.col("n").cast("double")))).alias("inside"))
 
@@ -315,18 +326,25 @@ def wrappers(stream: DataFrame, frame: DataFrame, each: int = 2000) -> DataFrame
         w = infer([(list(s), int(n)) for s, n in zip(pdf["symbols"], pdf["n"])])
         return pd.DataFrame({"site": [pdf["site"].iloc[0]], "salt": [int(pdf["salt"].iloc[0])], "symbols": [[s for s, _ in w]], "counts": [[int(c) for _, c in w]]})
 
-    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         w: list[list] = []
-        for s, c in sorted(zip(pdf["symbols"], pdf["counts"]), key=lambda x: -sum(x[1])):
+        for s, c in sorted(zip(pdf["symbols"], pdf["counts"]), key=lambda x: (-sum(x[1]), list(x[0]))):
             w = align(w, list(zip(s, [int(x) for x in c])))
-        r = roles(w)
+        return pd.DataFrame({"site": [pdf["site"].iloc[0]], "salt": [int(pdf["next"].iloc[0])], "symbols": [[s for s, _ in w]], "counts": [[int(c) for _, c in w]]})
+
+    def told(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = roles(list(zip(pdf["symbols"].iloc[0], map(int, pdf["counts"].iloc[0]))))
         return pd.DataFrame({"site": [pdf["site"].iloc[0]], "token": [list(r)], "before": [[r[t][0] for t in r]], "after": [[r[t][2] for t in r]]})
 
     counted = materialize(sk.groupBy("site", "symbols").agg(F.count("*").alias("n")), "counted")
-    parts_of = counted.groupBy("site").agg(F.ceil(F.count("*") / each).alias("parts"))
+    parts_of = materialize(counted.groupBy("site").agg(F.ceil(F.count("*") / each).alias("parts")), "parts")
+    most = parts_of.agg(F.max("parts")).first()[0] or 1
     counted = counted.join(broadcast_if(parts_of), "site").withColumn("salt", F.pmod(F.xxhash64("symbols"), F.col("parts")).cast("int"))
-    parts = counted.groupBy("site", "salt").applyInPandas(part, "site string, salt int, symbols array<string>, counts array<int>")
-    done = parts.groupBy("site").applyInPandas(whole, "site string, token array<string>, before array<double>, after array<double>")
+    wrapper = counted.groupBy("site", "salt").applyInPandas(part, "site string, salt int, symbols array<string>, counts array<int>")
+    while most > 1:  # a tree: FAN wrappers become one in a task
+        wrapper = wrapper.withColumn("next", F.expr(f"salt div {FAN}").cast("int")).groupBy("site", "next").applyInPandas(merged, "site string, salt int, symbols array<string>, counts array<int>")
+        most = -(-most // FAN)
+    done = wrapper.groupBy("site").applyInPandas(told, "site string, token array<string>, before array<double>, after array<double>")
     return done.join(inside, "site", "left")
 
 
@@ -364,8 +382,7 @@ def main_bodies(pages: DataFrame) -> DataFrame:
                     extras.append(extra)
                 yield pa.RecordBatch.from_arrays([cols["page_id"], pa.array(owns, pa.list_(pa.bool_())), pa.array(blanks, pa.list_(pa.bool_())), pa.array(bodies, pa.string()), pa.array(heads, pa.string()), pa.array(extras, pa.bool_())], names=["page_id", "own", "blank", "body", "heading", "title_extra"])
 
-    wide = stream.select("page_id", "site", "title", "content", "tokens", "kinds").join(broadcast_if(wrapper, HOSTS), "site", "left")
-    return wide.mapInArrow(run, "page_id long, own array<boolean>, blank array<boolean>, body string, heading string, title_extra boolean")
+    return with_host(stream.select("page_id", "site", "title", "content", "tokens", "kinds"), wrapper).mapInArrow(run, "page_id long, own array<boolean>, blank array<boolean>, body string, heading string, title_extra boolean")
 
 
 def _role(token: list[str] | None, before: list[float] | None, after: list[float] | None, inside: list[tuple[str, float]] | None) -> dict[str, tuple[float, float, float]]:

@@ -166,6 +166,19 @@ def test_wrappers_separate_the_body(spark):
     assert p3.main_bodies(df.where("false")).count() == 0
 
 
+def test_wrappers_of_many_hosts_and_parts(spark, monkeypatch):
+    """The same lines whether hosts are broadcast or joined in salted parts, and wrappers merged at once or as a tree."""
+    rows = [(k, f"h{k % 2}.test", f"Chapter {k}: X", "\n".join(page(k)[0])) for k in range(1, 121)]
+    df = spark.createDataFrame(rows, "page_id long, site string, title string, content string")
+    want = {tuple(r) for r in p3.boilerplate_lines(p3.main_bodies(df)).collect()}
+    monkeypatch.setattr(p3, "HOSTS", 0)
+    assert {tuple(r) for r in p3.boilerplate_lines(p3.main_bodies(df)).collect()} == want
+    stream = p3.materialize(p3.streams(df), "s")
+    frame = p3.materialize(p3.frames(stream), "f")
+    pick = lambda w: {r.site: set(r.token) for r in w.collect()}
+    assert pick(p3.wrappers(stream, frame, each=3)) == pick(p3.wrappers(stream, frame))
+
+
 def test_wrapper_inference():
     w = p3.infer([(["a", p3.BODY, "x"], 5), (["a", "b", p3.BODY, "x"], 3), (["b", p3.BODY, "y", "x"], 1)])
     assert [s for s, _ in w] == ["a", "b", p3.BODY, "y", "x"] and dict(map(tuple, w))[p3.BODY] == 9
