@@ -77,7 +77,7 @@ def tokens(texts: list[str]) -> Tokens:
     word = kind >= LETTER
     offset = np.arange(len(k), dtype=np.int64) - np.repeat(at, length)
     h = np.add.reduceat(mix(codes.astype(U64) + U64(1)) * _P[np.minimum(offset, 63)], at)
-    doc = np.searchsorted(doc_start, at, side="right") - 1
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.append(np.searchsorted(at, doc_start), len(at))))
     return Tokens(h[word], kind[word], upper[codes[at[word]]], doc[word], at[word], at[word] + length[word], codes, len(texts))
 
 
@@ -87,12 +87,14 @@ def shingles(h: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.
     if not n:
         return h, doc
     s = np.zeros(n, dtype=U64)
-    last = np.minimum(np.arange(n) + size - 1, n - 1)
-    whole = doc[last] == doc
-    whole &= np.arange(n) + size - 1 < n
+    whole = np.zeros(n, dtype=bool)
+    if n >= size:
+        np.equal(doc[size - 1 :], doc[: n - size + 1], out=whole[: n - size + 1])
     for j in range(size):
-        idx = np.minimum(np.arange(n) + j, n - 1)
-        s = s * U64(0x100000001B3) + np.where(doc[idx] == doc, h[idx], U64(0))
+        s *= U64(0x100000001B3)
+        # the last token stands in for those beyond all texts
+        s[: n - j] += np.where(doc[j:] == doc[: n - j], h[j:], U64(0))
+        s[n - j :] += np.where(doc[n - j :] == doc[-1], h[-1], U64(0))
     first = np.ones(n, dtype=bool)
     first[1:] = doc[1:] != doc[:-1]
     keep = whole | first

@@ -107,7 +107,7 @@ _ROW = pa.schema([("row_id", pa.int64()), ("source", pa.string()), ("how", pa.in
 _ROW_DDL = "row_id long, source string, how int, size int, text_hash long, last_line long, tail array<int>, bands array<long>, last_words int, going_on array<int>, chunk int, counts binary"
 
 
-def end_words(h: np.ndarray, doc: np.ndarray, docs: int) -> tuple[list[int | None], list[list[int]]]:
+def end_words(h: np.ndarray, doc: np.ndarray, docs: int) -> tuple[pa.Array, pa.Array]:
     """For each text a hash of the ENDS words before its last one, and of all such runs in it that a text of 0.8 of its words could end in."""
     n = np.bincount(doc, minlength=docs)
     first = np.cumsum(n) - n
@@ -115,12 +115,13 @@ def end_words(h: np.ndarray, doc: np.ndarray, docs: int) -> tuple[list[int | Non
     for j in range(ENDS):
         run = run * U64(0x100000001B3) + h[j : len(h) - ENDS + 1 + j]
     run = (mix(run) >> U64(32)).astype(np.uint32).view(np.int32)
-    last, on = [], []
-    for at, k in zip(first.tolist(), n.tolist()):
-        last.append(int(run[at + k - 1 - ENDS]) if k > ENDS else None)
-        # a run that ends before word i, which is followed by another
-        on.append(np.unique(run[at + max(0, k * 18 // 25 - 1 - ENDS) : at + k - 1 - ENDS]).tolist() if k > ENDS + 1 else [])
-    return last, on
+    has = n > ENDS
+    last = pa.array(run[np.where(has, first + n - 1 - ENDS, 0)] if len(run) else np.zeros(docs, np.int32), pa.int32(), mask=~has)
+    # runs that end before word i, which is followed by another
+    lo, hi = first + np.maximum(0, n * 18 // 25 - 1 - ENDS), first + n - 1 - ENDS
+    size = np.where(n > ENDS + 1, np.maximum(0, hi - lo), 0)
+    at = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+    return last, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(run[at], pa.int32()))
 
 
 def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
@@ -128,6 +129,15 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(LENGTHS), 3, SLOTS), dtype=np.int32)
+        held: dict[tuple[int, int], list[np.ndarray]] = {(k, j): [] for k in range(len(LENGTHS)) for j in range(3)}
+        many = 0
+
+        def count() -> None:
+            for (k, j), slots in held.items():
+                if slots:
+                    table[k, j] += np.bincount(np.concatenate(slots), minlength=SLOTS).astype(np.int32)
+                    slots.clear()
+
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
@@ -136,7 +146,11 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
                 c = closing_ngrams(t)
                 for k, slots in enumerate(c["slots"]):
                     for j, w in enumerate((c["inside"], c["line"], c["stop"])):
-                        table[k, j] += np.bincount(slots[w], minlength=SLOTS).astype(np.int32)
+                        held[k, j].append(slots[w])
+                many += len(c["doc"])
+                if many > SLOTS:
+                    count()
+                    many = 0
                 how = [ending(x) for x in texts]
                 last = np.full(len(texts), -1, dtype=np.int64)
                 last[c["doc"]] = np.arange(len(c["doc"]))  # the last of each text wins
@@ -147,13 +161,14 @@ def features(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
                 keys = bands(s, doc, len(texts), BANDS, ROWS).astype(np.int64)
                 size = np.bincount(t.doc[word], minlength=len(texts))
                 sums = np.zeros(len(texts), dtype=U64)
-                np.add.at(sums, t.doc[word], mix(t.hash[word] + np.arange(word.sum(), dtype=U64) - np.searchsorted(t.doc[word], t.doc[word]).astype(U64)))
+                np.add.at(sums, t.doc[word], mix(t.hash[word] + np.arange(word.sum(), dtype=U64) - np.repeat(np.cumsum(size) - size, size).astype(U64)))
                 last_words, on = end_words(t.hash[word], t.doc[word], len(texts))
                 m = len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(how, pa.int32()), pa.array(size.astype(np.int32)), pa.array(sums.astype(np.int64)), pa.array([last_line(x) if e in (OPEN, ELLIPSIS) else None for x, e in zip(texts, how)], pa.int64()), pa.array(tails, pa.list_(pa.int32())), pa.array(keys.tolist(), pa.list_(pa.int64())), pa.array(last_words, pa.int32()), pa.array(on, pa.list_(pa.int32())), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                    [b.column(0), b.column(1), pa.array(how, pa.int32()), pa.array(size.astype(np.int32)), pa.array(sums.astype(np.int64)), pa.array([last_line(x) if e in (OPEN, ELLIPSIS) else None for x, e in zip(texts, how)], pa.int64()), pa.array(tails, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1))), last_words, on, pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                     schema=_ROW,
                 )
+        count()
         flat = table.reshape(-1)
         for i in range(0, len(flat), CHUNK):
             part = flat[i : i + CHUNK]
