@@ -147,7 +147,7 @@ def pack(sizes: DataFrame, caps: DataFrame, rows_each: int = 50_000) -> DataFram
     step = F.lit(BLOCK)
     blocks = places.withColumn("block", F.explode(F.sequence(F.expr(f"lo div {BLOCK}"), F.expr(f"(hi - 1) div {BLOCK}"))))
     rests = (
-        ranked.withColumn("block", F.floor(F.col("rank") / step)).join(broadcast_if(blocks), ["cap_name", "rest", "block"]).where("rank >= lo and rank < hi")
+        ranked.withColumn("block", F.floor(F.col("rank") / step)).join(broadcast_if(blocks, 20_000), ["cap_name", "rest", "block"]).where("rank >= lo and rank < hi")
         .select("cap_name", (F.col("first") + F.expr("(rank - lo) div k")).alias("container_id"), "doc_id", (F.col("full") + 1).cast("int").alias("part_no"), (F.col("full") * F.col("cap")).alias("from_token"), F.col("rest").alias("n_tokens"))
     )
     over = items.where("full > 0").withColumn("u", unit_hash("doc_id", F.lit(7)))
