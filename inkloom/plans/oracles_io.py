@@ -112,7 +112,7 @@ SQL: dict[str, str] = {
     "loaded_checkpoint": f"SELECT * FROM ({CRAWLED}) WHERE series_name = (SELECT max(book) FROM crawl_pages)",
     "resumed_crawl": "SELECT page_id, book, chapter_num, 'append' AS run FROM crawl_pages WHERE chapter_num IS NOT NULL UNION ALL SELECT page_id, book, chapter_num, 'overwrite' FROM crawl_pages WHERE chapter_num > 10",
     "filter_modes": f"SELECT row_id, mode FROM (SELECT row_id, unnest(['segment', 'chapter', 'off', 'none']) AS mode, {R2} AS g, {R1V} AS v, {R1C} AS c FROM segments) WHERE mode IN ('off', 'none') OR (mode = 'segment' AND g BETWEEN 2 AND 9) OR (mode = 'chapter' AND v BETWEEN 1 AND 999 AND c BETWEEN 2 AND 30)",
-    "checked_chapters": f"SELECT row_id, id FROM segments WHERE {R4} BETWEEN 2 AND 5",
+    "checked_chapters": f"SELECT row_id, id FROM segments WHERE {R4} - (SELECT min({R4}) FROM segments) BETWEEN 0 AND 3",
     "enabled_pages": "SELECT page_id, success FROM crawl_pages WHERE success IS DISTINCT FROM false",
     "crawl_outcome": "SELECT site, count_if(success IS NOT DISTINCT FROM true)::BIGINT AS n_ok, count_if(success IS DISTINCT FROM true)::BIGINT AS n_failed FROM crawl_pages GROUP BY site",
     "crawl_failures": "SELECT site, page_id FROM crawl_pages WHERE success IS DISTINCT FROM true",

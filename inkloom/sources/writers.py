@@ -155,9 +155,8 @@ def epubs(chapters: DataFrame, key: str, language: str = "vi") -> DataFrame:
     make = _epub(key, language)
 
     def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        if (pdf["body"].fillna("") == "").all():
-            return pd.DataFrame({"path": [], "content": []})
-        return pd.DataFrame({"path": [f"{k[0]}.epub"], "content": [make(pdf)]})
+        found = [] if (pdf["body"].fillna("") == "").all() else [(f"{k[0]}.epub", make(pdf))]
+        return pd.DataFrame({"path": pd.Series([p for p, _ in found], dtype=object), "content": pd.Series([c for _, c in found], dtype=object)})
 
     return _epub_rows(chapters, key).groupBy(key).applyInPandas(run, "path string, content binary")
 
