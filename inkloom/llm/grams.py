@@ -18,7 +18,7 @@ def classes() -> tuple[np.ndarray, np.ndarray]:
     """For each code point its class, and whether it is an upper-case letter."""
     cls = np.full(0x110000, MARK, dtype=np.uint8)
     upper = np.zeros(0x110000, dtype=bool)
-    for i in range(0x10000):
+    for i in range(0x20000):  # beyond lie Han characters, marks and code points without a character
         c = chr(i)
         cat = unicodedata.category(c)
         if c in "\n\r\x0b\x0c\x85\u2028\u2029":
@@ -76,7 +76,10 @@ def tokens(texts: list[str]) -> Tokens:
     kind = k[at]
     word = kind >= LETTER
     offset = np.arange(len(k), dtype=np.int64) - np.repeat(at, length)
-    h = np.add.reduceat(mix(codes.astype(U64) + U64(1)) * _P[np.minimum(offset, 63)], at)
+    factor = _P[np.minimum(offset, 63)]
+    far = np.flatnonzero(offset > 63)
+    factor[far] = mix(offset[far].astype(U64)) | U64(1)
+    h = np.add.reduceat(mix(codes.astype(U64) + U64(1)) * factor, at)
     doc = np.repeat(np.arange(len(texts)), np.diff(np.append(np.searchsorted(at, doc_start), len(at))))
     return Tokens(h[word], kind[word], upper[codes[at[word]]], doc[word], at[word], at[word] + length[word], codes, len(texts))
 

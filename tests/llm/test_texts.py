@@ -80,6 +80,13 @@ def test_tokens_stay_in_their_text(texts):
     assert all(starts[d] <= a < b <= starts[d + 1] for d, a, b in zip(t.doc, t.start, t.end))
 
 
+def test_words_of_any_length_and_plane():
+    a, b = "x" * 70 + "ab" + "y" * 10, "x" * 70 + "ba" + "y" * 10
+    t = grams.tokens([a, b, a, "\U00010414\U00010415 \U00020001"])  # letters and a Han character beyond the first plane
+    assert len(set(t.hash[:3].tolist())) == 2 and t.hash[0] == t.hash[2]
+    assert t.kind.tolist() == [grams.LETTER] * 4 + [grams.HAN]
+
+
 # p5
 
 
