@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.operators.ranks import positions
+from inkloom.operators.ranks import beside, positions
 from inkloom.runtime import broadcast_if
 
 
@@ -64,4 +64,4 @@ def failures(df: DataFrame, keys: list[str], name: str, ok: str) -> DataFrame:
 def progress(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """With done_percent: how much of its key's work is done with each row, in order."""
     total = df.groupBy(*keys).agg(F.count("*").alias("_total"))
-    return positions(df, keys, order, "_n").join(broadcast_if(total), keys).withColumn("done_percent", F.round(100.0 * F.col("_n") / F.col("_total"), 4)).drop("_n", "_total")
+    return beside(positions(df, keys, order, "_n"), broadcast_if(total), keys).withColumn("done_percent", F.round(100.0 * F.col("_n") / F.col("_total"), 4)).drop("_n", "_total")

@@ -14,6 +14,16 @@ def _named(order: list[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def beside(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``keys``, of which nulls are equal to each other."""
+    named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    out = left.join(named, same, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
+
+
 def hot(df: DataFrame, keys: list[str], most: int) -> bool:
     """Whether a key has more than ``most`` rows: one pre-aggregated count."""
     return not df.groupBy(*keys).count().where(F.col("count") > most).isEmpty()

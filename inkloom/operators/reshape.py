@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkloom.functions import ids
 from inkloom.functions.text import WS, strip_u
-from inkloom.operators.ranks import positions, previous
+from inkloom.operators.ranks import beside, positions, previous
 from inkloom.runtime import broadcast_if, materialize
 
 
@@ -54,7 +54,7 @@ def book_chapters(segments: DataFrame, keys: list[str]) -> DataFrame:
     g = s.groupBy(*keys, "chapter_key").agg(F.min_by("title", F.struct("ord", "row_id")).alias("title"), joined("content", ["ord", "row_id"], "\n\n").alias("content")).where(strip_u(F.col("content")) != "")
     k = ids.digits_key(F.col("chapter_key"))
     have = positions(s.where("content is not null").select(*keys, "chapter_key").distinct(), keys, [k["major"], k["minor"], "chapter_key"])
-    return g.join(have, [*keys, "chapter_key"])
+    return beside(g, have, [*keys, "chapter_key"])
 
 
 def text_chapters(segments: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,7 +71,7 @@ def text_chapters(segments: DataFrame, keys: list[str]) -> DataFrame:
     at = positions(s.select(*keys, "_v", "chapter").distinct(), keys, [F.nullif("_v", F.lit(-1)).asc_nulls_last(), "chapter"])
     volume = F.nullif("_v", F.lit(-1))
     head = F.concat(F.when(volume.isNotNull(), F.concat(F.lit("Quyển "), volume, F.lit(" - "))).otherwise(""), F.lit("Chương "), F.col("chapter"), F.lit(": "), F.coalesce("title", F.lit("")))
-    return g.join(at, [*keys, "_v", "chapter"]).select(*keys, volume.alias("volume"), "chapter", head.alias("header"), "text", "position")
+    return beside(g, at, [*keys, "_v", "chapter"]).select(*keys, volume.alias("volume"), "chapter", head.alias("header"), "text", "position")
 
 
 def upload_plan(segments: DataFrame, keys: list[str], prefix: str, first: int = 0) -> DataFrame:
@@ -80,7 +80,7 @@ def upload_plan(segments: DataFrame, keys: list[str], prefix: str, first: int =
     s = s.withColumn("chapter", F.regexp_extract("chapter_key", r"Chapter_(\d+)", 1).try_cast("int")).withColumn("_g", ids.segment_of(F.col("id")))
     if first > 0:
         some = positions(s.select(*keys, "chapter").distinct(), keys, ["chapter"], "_r").where(F.col("_r") <= first).drop("_r")
-        s = s.join(broadcast_if(some), [*keys, "chapter"], "left_semi")
+        s = beside(s, broadcast_if(some), [*keys, "chapter"], "left_semi")
     return s.groupBy(*keys, "chapter_key", "chapter").agg(F.min_by("title", F.struct("_g", "ord", "row_id")).alias("title"), joined("content", ["_g", "ord", "row_id"], "\n\n").alias("content"))
 
 

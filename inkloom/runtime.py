@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -35,6 +36,7 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.write(p, f"{root.name}/{p.relative_to(root)}")
     spark.sparkContext.addPyFile(str(out))
+    atexit.register(shutil.rmtree, out.parent, ignore_errors=True)
     _SHIPPED.add(app)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.functions.text import paragraphs_html, xml_clean
-from inkloom.operators.ranks import positions, previous
+from inkloom.operators.ranks import beside, positions, previous
 from inkloom.runtime import shared_dir
 from inkloom.sources.blocks import dump_segments
 
@@ -198,26 +198,26 @@ def crawl_blocks(chapters: DataFrame, key: str, order: list[str], start: int = 1
     slim = chapters.select(key, *order, F.nullif(F.trim(F.coalesce("volume", F.lit(""))), F.lit("")).alias("_v"))
     at = positions(slim.drop("_v"), [key], order)
     new = previous(slim.where("_v is not null"), [key], order, "_v", "_last").where(~F.col("_v").eqNullSafe(F.col("_last"))).select(key, *order, F.concat(F.lit("\n"), "_v", F.lit(":\n")).alias("_mark"))
-    rows = chapters.join(at, [key, *order]).join(new, [key, *order], "left")
+    rows = beside(beside(chapters, at, [key, *order]), new, [key, *order], "left")
     head = F.concat(F.lit("\nChương "), F.coalesce(F.col("chapter_num").cast("string"), F.lit("")), F.when(F.coalesce("title", F.lit("")) != "", F.concat(F.lit(": "), "title")).otherwise(":"))
     body = F.when(F.coalesce("content", F.lit("")) != "", F.concat(F.lit("\n"), "content", F.lit("\n"))).otherwise("")
     blocks = rows.select(key, "position", F.concat(F.coalesce("_mark", F.lit("")), head, body).alias("block"))
     if start != 1:
         return blocks
-    return chapters.select(key).distinct().select(key, F.lit(0).alias("position"), F.concat(F.lit("=== "), F.col(key), F.lit(" ===\n\n")).alias("block")).unionByName(blocks)
+    return chapters.select(key).distinct().select(key, F.lit(0).alias("position"), F.concat(F.lit("=== "), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(" ===\n\n")).alias("block")).unionByName(blocks)
 
 
 def crawl_order(chapters: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The rows of a crawl's segment file with their position: by chapter number, then as they came."""
     at = positions(chapters.select(key, "chapter_num", *order), [key], ["chapter_num", *order])
-    return chapters.join(at.drop("chapter_num"), [key, *order])
+    return beside(chapters, at if "chapter_num" in order else at.drop("chapter_num"), [key, *order])
 
 
 def sequential_blocks(chapters: DataFrame, key: str, order: list[str]) -> DataFrame:
     """key, position, block: chapters numbered in order, each with its heading, NO_TEXT for those without text."""
     at = positions(chapters.select(key, *order), [key], order)
     body = F.when(F.coalesce("content", F.lit("")) == "", NO_TEXT).otherwise(F.col("content"))
-    return chapters.join(at, [key, *order]).select(key, "position", F.concat(F.lit("Chapter "), "position", F.lit(": "), F.coalesce("title", F.lit("")), F.lit("\n"), body, F.lit("\n\n")).alias("block"))
+    return beside(chapters, at, [key, *order]).select(key, "position", F.concat(F.lit("Chapter "), "position", F.lit(": "), F.coalesce("title", F.lit("")), F.lit("\n"), body, F.lit("\n\n")).alias("block"))
 
 
 def text_of_blocks(blocks: DataFrame, keys: list[str]) -> DataFrame:

@@ -117,6 +117,23 @@ def test_neighbours_of_hot_keys(spark):
         assert sorted(map(str, f(5).collect())) == sorted(map(str, f(1000).collect()))
 
 
+def test_null_keys_keep_their_rows(spark):
+    """Rows without a book, number or title are ordered and written like others, and clashing column names stay apart."""
+    from inkloom.sources import writers
+
+    pages = spark.createDataFrame([(1, None, None, None, None, None), (2, None, 1, "V", "T", "x"), (3, "b", None, " ", None, "y"), (4, "b", None, None, "U", "")], "page_id long, book string, chapter_num int, volume string, title string, content string").withColumn("position", F.lit(9)).withColumn("block", F.lit("z"))
+    got = writers.crawl_blocks(pages.drop("position", "block"), "book", ["chapter_num", "page_id"])
+    assert sorted((r.book or "", r.position, r.block) for r in got.collect()) == [("", 0, "===  ===\n\n"), ("", 1, "\nChương :"), ("", 2, "\nV:\n\nChương 1: T\nx\n"), ("b", 0, "=== b ===\n\n"), ("b", 1, "\nChương :\ny\n"), ("b", 2, "\nChương : U")]
+    assert writers.crawl_order(pages.drop("position"), "book", ["page_id"]).count() == 4
+    assert writers.sequential_blocks(pages.drop("position", "block"), "book", ["page_id"]).count() == 4
+    s = spark.createDataFrame([(None, 1, 1, "Chapter_1_Segment_1", None, "x"), (None, 2, 2, "Volume_1_Chapter_1_Segment_1", "T", "y"), (None, 3, 3, None, "T", "y")], "book string, ord long, row_id long, id string, title string, content string")
+    assert [r.position for r in reshape.text_chapters(s, ["book"]).orderBy("position").collect()] == [1, 2]
+    assert reshape.book_chapters(s, ["book"]).count() == 2 and reshape.upload_plan(s, ["book"], "Volume_1", 1).count() == 1
+    assert quality.progress(s.select("book", "row_id"), ["book"], ["row_id"]).count() == 3
+    empty = s.where("false")
+    assert reshape.text_chapters(empty, ["book"]).count() == 0 and ranks.positions(empty, ["book"], ["ord"]).count() == 0
+
+
 def test_counters(spark):
     log = spark.createDataFrame([(1, "f", "[2025-01-01 10:00:00] a: THÀNH CÔNG | Tokens: In=3, Out=5"), (2, "f", "[2025-01-01 10:00:00] Title_1: THẤT BẠI - Lỗi: x"), (3, "f", None)], "log_id long, log_file string, line string")
     r = quality.token_summary(quality.parse_log(log), ["log_file"]).first()
