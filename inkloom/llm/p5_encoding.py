@@ -83,6 +83,7 @@ def usual_characters() -> frozenset[str]:
     return frozenset({c for c in sound if "一" <= c <= "鿿"} | vi | signs | {chr(c) for c in range(0xFF01, 0xFF5F)} | {chr(c) for c in range(0x80)})
 
 
+WIDE = regex.compile(r"[\u2e80-\uffef]")  # text garbled by an encoding of several bytes a character holds some of these
 HAN_IN_LATIN = regex.compile(r"(?<=[A-Za-z])[\u4e00-\u9fff](?=[a-z])")
 
 
@@ -307,7 +308,7 @@ def _once(line: str) -> tuple[str, list[tuple[int, int]]]:
     if not odd:
         return line, []
     best: tuple[tuple, list[tuple[int, int, str]]] | None = None
-    found = [(*PAIRS[p], spans) for p, spans in _spans(line).items()] + [(stored, read, _spans_of_many(line, stored, read)) for stored, read in MANY_PAIRS]
+    found = [(*PAIRS[p], spans) for p, spans in _spans(line).items()] + [(stored, read, _spans_of_many(line, stored, read)) for stored, read in MANY_PAIRS if WIDE.search(line)]
     for stored, read, spans in found:
         got = _accept(line, stored, read, spans, odd) if spans else []
         if got:
